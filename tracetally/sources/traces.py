@@ -10,21 +10,17 @@ from __future__ import annotations
 import csv
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracetally.schema import COMMON_COLUMNS, STAGES, TRACE
 
-_PROBE_ROWS = 1
-# Long enough to hold any split, so that the probe plans each one as a task of its own.
-_NEVER_SHARE_A_TASK = str(1 << 40)
-
-
 def _typed(field: T.StructField, source: str | None, kind: T.DataType | None) -> Column:
     """The source column as the documented type: '' is NULL, and so is what does not parse."""
     if source is None:
@@ -85,15 +81,10 @@ def conform_counting_rejects(raw: DataFrame) -> tuple[DataFrame, Observation]:
     return conform(raw.observe(rejects, *counts)), rejects
 
 
-def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield batch.slice(0, _PROBE_ROWS)
-        return
-
-
-def _header_names(line: str) -> tuple[str, ...]:
-    names = next(csv.reader([line.lstrip("﻿")]), [])
-    return tuple(name.strip() for name in names)
+def _is_header() -> Column:
+    """True for a line that has all the common column names among its fields."""
+    fields = [rf"(?i)(^|,)\s*\"?{name}\"?\s*(,|$)" for name in COMMON_COLUMNS]
+    return reduce(and_, [F.col("value").rlike(field) for field in fields])
 
 
 def header_groups(
@@ -101,29 +92,23 @@ def header_groups(
 ) -> dict[tuple[str, ...], list[str]]:
     """Trace files below ``paths`` by their header.
 
-    Executors fetch the first line of every split and stop there, so the probe reads a few KB per
-    split, not the data. The driver gets one name per file, as it does for any file scan.
+    One pass over the unparsed lines on the executors, which keep a name and a header per file.
+    The driver gets those; the names it holds for any file scan.
     """
-    probe = spark.newSession()
-    probe.conf.set("spark.sql.files.openCostInBytes", _NEVER_SHARE_A_TASK)
-    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_PROBE_ROWS))
-    lines = (
-        probe.read.text(list(paths))
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            "value",
-        )
-        .mapInArrow(_first_rows, "file string, start bigint, value string")
-        .where("start = 0")
-        .select("file", "value")
-    )
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
+    first_split = F.col("_metadata.file_block_start") == 0
+    headers = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.when(first_split & _is_header(), F.col("value")).alias("header"),
+    ).distinct()
+    files: dict[str, list[str]] = defaultdict(list)
+    for file, header in headers.collect():
+        files[file] += [] if header is None else [header]
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file, line in lines.collect():
-        header = _header_names(line)
-        if not {name.lower() for name in header}.issuperset(COMMON_COLUMNS):
-            raise ValueError(f"{file} does not start with a trace header")
-        groups[header].append(_as_path(file))
+    for file, found in files.items():
+        if len(found) != 1:
+            raise ValueError(f"{file} has {len(found)} different trace headers instead of one")
+        groups[tuple(next(csv.reader(found)))].append(_as_path(file))
     return dict(groups)
 
 
@@ -136,6 +121,7 @@ def _read_group(
     spark: SparkSession, paths: list[str], header: Iterable[str] | None, multi_line: bool
 ) -> DataFrame:
     reader = spark.read.options(
+        recursiveFileLookup=True,
         header=True,
         quote='"',
         escape='"',
@@ -157,8 +143,8 @@ def read_raw_traces(
 ) -> DataFrame:
     """All trace files below ``paths`` as text columns, joined up by name.
 
-    ``one_header``  the files are known to share one header: skip the probe. The scan still checks
-                    every file and fails on a different header.
+    ``one_header``  the files are known to share one header: spare the pass that looks for
+                    headers. The scan still checks every file and fails on a different one.
     ``multi_line``  quoted fields may contain line breaks; such files cannot be split over tasks.
     """
     if one_header:
@@ -166,6 +152,8 @@ def read_raw_traces(
     groups = header_groups(spark, paths)
     if not groups:
         raise ValueError(f"no trace files below {', '.join(paths)}")
+    if len(groups) == 1:
+        return _read_group(spark, list(paths), next(iter(groups)), multi_line)
     scans = [_read_group(spark, files, header, multi_line) for header, files in groups.items()]
     united, *others = scans
     for scan in others:
@@ -225,9 +213,38 @@ def register_trace(trace: DataFrame, name: str = "trace") -> None:
     trace.createOrReplaceTempView(name)
 
 
-def stage_depth() -> Column:
-    """How deep a row got: 0 for sync up to 6 for push, -1 for none."""
-    depth = F.lit(-1)
-    for position, stage in enumerate(STAGES):
+def save_table(trace: DataFrame, table: str, mode: str = "append") -> None:
+    """Stores a trace as a catalog table, which any SQL tool on the same catalog can query."""
+    clustered(trace).write.mode(mode).format("parquet").saveAsTable(table)
+
+
+def _stage_depth() -> Column:
+    """How deep a row got: 1 for sync up to 7 for push, 0 for no stage."""
+    depth = F.lit(0)
+    for position, stage in enumerate(STAGES, 1):
         depth = F.when(F.col(f"{stage}Outcome").isNotNull(), position).otherwise(depth)
     return depth
+
+
+def deepest_stage(trace: DataFrame) -> DataFrame:
+    """Drops rows of a run that a later stage's trace repeats. Optional; reports do not call it.
+
+    A later command repeats all earlier stages, so loading the run files and the commit files of
+    the same work counts its rows and sums twice (distinct counts are immune). Of the rows with
+    the same repository, branch, developer, build and run, those of the deepest stage stay, all of
+    them. Rows without a run stay too.
+
+    Only runs seen at several depths are matched, and they come from an aggregate that collapses
+    copies before its shuffle, so a run with many copies swells no group.
+    """
+    run = ["origin", "path", "branch", "developer", "buildId", "runId"]
+    depths = (
+        trace.where(F.col("runId").isNotNull())
+        .groupBy(*run)
+        .agg(F.min(_stage_depth()).alias("_least"), F.max(_stage_depth()).alias("_deepest"))
+        .where("_least < _deepest")
+        .select(*[F.col(name).alias(f"_{name}") for name in run], "_deepest")
+    )
+    same_run = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in run])
+    repeated = same_run & (_stage_depth() < F.col("_deepest"))
+    return trace.join(depths, repeated, "left_anti")
