@@ -27,7 +27,7 @@ def _starts(prefixes: list[str]) -> str:
 def _build_success_trend(grain: str = "month") -> str:
     return f"""
         SELECT month, total_builds, successful_builds, failed_builds,
-               round(100.0 * successful_builds / total_builds, 1) AS success_rate_pct, unique_repos
+               round(100.0 * successful_builds / nullif(total_builds, 0), 1) AS success_rate_pct, unique_repos
         FROM (SELECT {_period("buildStartTime", grain)} AS month,
                      count(DISTINCT buildId) AS total_builds,
                      count(DISTINCT buildId) FILTER (buildOutcome = 'Succeeded') AS successful_builds,
@@ -217,7 +217,8 @@ _TABLES = {
 }
 
 
-def oracle_sql() -> dict[str, str]:
+def report_selects() -> dict[str, str]:
+    """Every query over a relation ``trace``."""
     selects = {name: make() for name, make in {**_TRENDS, **_TABLES}.items()}
     for name, make in _TRENDS.items():
         for grain in GRAINS:
@@ -249,4 +250,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, printf('%.1fh', estimated_hours_saved) AS hours_label
             FROM ({_top_recipes_with_commits()})""",
     }
-    return {name: f"WITH trace AS ({_TRACE})\n{select}" for name, select in selects.items()}
+    return selects
+
+
+def oracle_sql() -> dict[str, str]:
+    return {
+        name: f"WITH trace AS ({_TRACE})\n{select}" for name, select in report_selects().items()
+    }

@@ -38,7 +38,7 @@ def _over_trace(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(fixture_trace(spark, sf_dir))
 
 
-def queries() -> dict[str, Query]:
+def over_any_trace() -> dict[str, Callable[[DataFrame], DataFrame]]:
     plain = {name: getattr(reports, name) for name in (*_TRENDS, *_TABLES)}
     found: dict[str, Callable[[DataFrame], DataFrame]] = dict(plain)
     for name in _TRENDS:
@@ -72,4 +72,8 @@ def queries() -> dict[str, Query]:
         "month_label": lambda t: shaping.month_label(reports.commit_trend(t)),
         "hours_label": lambda t: shaping.hours_label(reports.top_recipes_with_commits(t)),
     }
-    return {name: _over_trace(report) for name, report in found.items()}
+    return found
+
+
+def queries() -> dict[str, Query]:
+    return {name: _over_trace(report) for name, report in over_any_trace().items()}

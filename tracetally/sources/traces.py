@@ -97,10 +97,14 @@ def header_groups(
     """
     lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
     first_split = F.col("_metadata.file_block_start") == 0
-    headers = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.when(first_split & _is_header(), F.col("value")).alias("header"),
-    ).distinct()
+    headers = (
+        lines.where(first_split)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.when(_is_header(), F.col("value")).alias("header"),
+        )
+        .distinct()
+    )
     files: dict[str, list[str]] = defaultdict(list)
     for file, header in headers.collect():
         files[file] += [] if header is None else [header]
@@ -203,9 +207,13 @@ def ingest(
     return {name: n for name, n in rejects.get.items() if n or name == "rows"}
 
 
-def open_trace(spark: SparkSession, path: str) -> DataFrame:
-    """The stored trace. The fixed schema spares looking into the files for one."""
-    return spark.read.schema(TRACE).parquet(path)
+def open_trace(spark: SparkSession, *paths: str) -> DataFrame:
+    """The stored trace, of one or several folders.
+
+    The fixed schema spares looking into the files for one. Folders are read one by one, so that
+    each may be one that a stream fills, of which only finished batches count.
+    """
+    return reduce(DataFrame.unionByName, [spark.read.schema(TRACE).parquet(p) for p in paths])
 
 
 def register_trace(trace: DataFrame, name: str = "trace") -> None:

@@ -23,8 +23,9 @@ def follow_traces(
 
     Call it again, from a scheduler, for the files that have come since; ``checkpoint`` remembers
     those done, also across a lost driver, and the Parquet sink commits a batch whole or not at
-    all. All files must share ``header``; a different one fails the batch. Keep one folder per
-    stage. Reports stay batch queries over the result: exact distinct counts need all of a period.
+    all. All files must share ``header``; a different one fails the batch, so use a source folder
+    per stage. ``into`` must be a folder of its own, which ``open_trace`` reads together with
+    others. Reports stay batch queries over the result: exact distinct counts need all of a period.
     """
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     raw = (
