@@ -83,8 +83,11 @@ def conform_counting_rejects(raw: DataFrame) -> tuple[DataFrame, Observation]:
 
 def _is_header() -> Column:
     """True for a line that has all the common column names among its fields."""
-    fields = [rf"(?i)(^|,)\s*\"?{name}\"?\s*(,|$)" for name in COMMON_COLUMNS]
-    return reduce(and_, [F.col("value").rlike(field) for field in fields])
+    line = F.lower("value")
+    # Substrings first: they rule out nearly every data line at a fraction of a pattern's cost.
+    mentions = [line.contains(name) for name in COMMON_COLUMNS]
+    fields = [line.rlike(rf'(^|,)\s*"?{name}"?\s*(,|$)') for name in COMMON_COLUMNS]
+    return reduce(and_, mentions + fields)
 
 
 def header_groups(
