@@ -139,6 +139,26 @@ def test_a_file_without_header_is_refused(spark, tmp_path):
         header_groups(spark, [bad])
 
 
+def test_a_folder_without_any_header_is_refused(spark, tmp_path):
+    write(tmp_path / "x.csv", "#v1", "gh,o/a,main,al")
+    with pytest.raises(ValueError, match="no trace header"):
+        read_traces(spark, str(tmp_path), one_header=True)
+
+
+@pytest.mark.parametrize("one_header", [True, False])
+def test_trailing_comma_spaces_and_quotes_in_the_header(spark, tmp_path, one_header):
+    write(tmp_path / "t.csv", '"origin", path,branch ,developer,', "gh,o/a,main,al,")
+    row = read_traces(spark, str(tmp_path), one_header=one_header).first()
+    assert (row.origin, row.path, row.branch, row.developer) == ("gh", "o/a", "main", "al")
+
+
+def test_files_are_grouped_by_header(spark, tmp_path):
+    for name in "abc":
+        write(tmp_path / f"{name}.csv", COMMON, "gh,o/a,main,al")
+    write(tmp_path / "d.csv", RUN, run_line())
+    assert sorted(len(files) for files in header_groups(spark, [str(tmp_path)])) == [1, 3]
+
+
 def test_empty_files_are_ignored(spark, tmp_path):
     write(tmp_path / "1.csv", COMMON, "gh,o/a,main,al")
     write(tmp_path / "2.csv", f"{COMMON},runId")

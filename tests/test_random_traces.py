@@ -12,7 +12,7 @@ from micro import as_tuples
 from contract.oracles import report_selects
 from contract.registry import over_any_trace
 from tracetally.schema import TRACE
-from tracetally.sources.traces import conform
+from tracetally.sources.traces import conform, deepest_stage
 
 SELECTS, QUERIES = report_selects(), over_any_trace()
 
@@ -79,3 +79,18 @@ def test_query_on_a_random_trace(both, name):
     answer = duck.execute(SELECTS[name]).fetchall()
     got = as_tuples(QUERIES[name](ours))
     assert sorted(got, key=repr) == sorted(answer, key=repr)
+
+
+def test_deepest_stage_on_a_random_trace(both):
+    ours, duck = both
+    kept = "path, developer, buildId, runId, buildOutcome, runOutcome, commitOutcome, commitId"
+    answer = duck.execute(f"""
+        WITH deep AS (
+            SELECT *, CASE WHEN commitOutcome IS NOT NULL THEN 3 WHEN runOutcome IS NOT NULL THEN 2
+                           WHEN buildOutcome IS NOT NULL THEN 1 ELSE 0 END AS depth FROM trace)
+        SELECT {kept} FROM deep
+        QUALIFY runId IS NULL
+             OR depth = max(depth) OVER (PARTITION BY path, developer, buildId, runId)""").fetchall()
+    got = as_tuples(deepest_stage(ours).selectExpr(*kept.split(", ")))
+    assert sorted(got, key=repr) == sorted(answer, key=repr)
+    assert 0 < len(got) < ours.count()

@@ -90,33 +90,35 @@ def _is_header() -> Column:
     return reduce(and_, mentions + fields)
 
 
-def header_groups(
-    spark: SparkSession, paths: Iterable[str]
-) -> dict[tuple[str, ...], list[str]]:
-    """Trace files below ``paths`` by their header.
+def _lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).text(list(paths))
 
-    One pass over the unparsed lines on the executors, which keep a name and a header per file.
-    The driver gets those; the names it holds for any file scan.
+
+def header_groups(spark: SparkSession, paths: Iterable[str]) -> list[list[str]]:
+    """Trace files below ``paths``, those with the same header together.
+
+    One pass over the unparsed lines on the executors. The driver gets a name and a hash per file;
+    the names it holds for any file scan. Should two headers ever share a hash, the scan of their
+    group fails on the difference.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
-    first_split = F.col("_metadata.file_block_start") == 0
     headers = (
-        lines.where(first_split)
+        _lines(spark, paths)
+        .where(F.col("_metadata.file_block_start") == 0)
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.when(_is_header(), F.col("value")).alias("header"),
+            F.when(_is_header(), F.xxhash64("value")).alias("header"),
         )
         .distinct()
     )
-    files: dict[str, list[str]] = defaultdict(list)
+    files: dict[str, list[int]] = defaultdict(list)
     for file, header in headers.collect():
         files[file] += [] if header is None else [header]
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    groups: dict[int, list[str]] = defaultdict(list)
     for file, found in files.items():
         if len(found) != 1:
             raise ValueError(f"{file} has {len(found)} different trace headers instead of one")
-        groups[tuple(next(csv.reader(found)))].append(_as_path(file))
-    return dict(groups)
+        groups[found[0]].append(_as_path(file))
+    return list(groups.values())
 
 
 def _as_path(uri: str) -> str:
@@ -124,10 +126,14 @@ def _as_path(uri: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
 
-def _read_group(
-    spark: SparkSession, paths: list[str], header: Iterable[str] | None, multi_line: bool
-) -> DataFrame:
-    reader = spark.read.options(
+def _read_group(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+    """Files that share a header, as text columns named by it."""
+    first = _lines(spark, paths[:1]).where(_is_header()).first()
+    if first is None:
+        raise ValueError(f"no trace header below {paths[0]}")
+    names = next(csv.reader([first.value]))
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    reader = spark.read.schema(text).options(
         recursiveFileLookup=True,
         header=True,
         quote='"',
@@ -136,10 +142,7 @@ def _read_group(
         # A file whose header is not the group's fails the read instead of swapping columns.
         enforceSchema=False,
     )
-    if header is None:
-        header = reader.csv(paths).columns
-    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return reader.schema(text).csv(paths)
+    return reader.csv(paths)
 
 
 def read_raw_traces(
@@ -151,21 +154,19 @@ def read_raw_traces(
     """All trace files below ``paths`` as text columns, joined up by name.
 
     ``one_header``  the files are known to share one header: spare the pass that looks for
-                    headers. The scan still checks every file and fails on a different one.
+                    headers. It is taken from the first of ``paths``; the scan still checks every
+                    file and fails on a different one.
     ``multi_line``  quoted fields may contain line breaks; such files cannot be split over tasks.
     """
-    if one_header:
-        return _read_group(spark, list(paths), None, multi_line)
-    groups = header_groups(spark, paths)
+    groups = [list(paths)] if one_header else header_groups(spark, paths)
     if not groups:
         raise ValueError(f"no trace files below {', '.join(paths)}")
     if len(groups) == 1:
-        return _read_group(spark, list(paths), next(iter(groups)), multi_line)
-    scans = [_read_group(spark, files, header, multi_line) for header, files in groups.items()]
-    united, *others = scans
-    for scan in others:
-        united = united.unionByName(scan, allowMissingColumns=True)
-    return united
+        groups = [list(paths)]
+    return reduce(
+        lambda united, scan: united.unionByName(scan, allowMissingColumns=True),
+        [_read_group(spark, files, multi_line) for files in groups],
+    )
 
 
 def read_traces(
