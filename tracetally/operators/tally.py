@@ -82,6 +82,8 @@ def tally(
         for s, (_, flags) in enumerate(slots)
     ]
     values = flat.select(*by, F.inline(F.array(*records)))
+    # NULLs count nowhere; those of the first slot stay, for its sums and to keep the group.
+    values = values.where((F.col("_slot") == 0) | F.col("_value").isNotNull())
     carried = [F.max(f"_flag{i}").alias(f"_flag{i}") for i in range(width)]
     carried += [F.sum(name).alias(name) for name in sums]
     # The first shuffle: one record per key, column and value.
