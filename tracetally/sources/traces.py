@@ -201,7 +201,7 @@ def ingest(
     one_header: bool = False,
     multi_line: bool = False,
 ) -> Mapping[str, int]:
-    """CSV files to the Parquet trace at ``into`` in one pass.
+    """CSV files to the Parquet trace at ``into``, parsed once and without a shuffle.
 
     Returns the number of rows, and per column that had any, of values that did not parse.
     """
