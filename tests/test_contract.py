@@ -9,12 +9,13 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from contract import oracles, registry
 from contract.trace_fixture import TRACE_SQL, fixture_trace
 from tracetally.plans import reports
 from tracetally.schema import TRACE
 from tracetally.sources.traces import conform, open_trace, save_trace
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry.queries(), oracles.oracle_sql()
 
 
 def plan_of(df) -> str:
@@ -24,6 +25,8 @@ def plan_of(df) -> str:
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
     assert len(QUERIES) == 53
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert ORACLES.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
