@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracetally.llm import mixing, sharding
+from tracetally.llm import mixing, rules, secrets, sharding, urls
+from tracetally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,14 +29,73 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs, "doc_id", shards=8, grown=9)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every text, as kind:start:end."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.Ledger(spark, shared_folder(spark)), secrets.RULES)
+    base = F.filter("findings", lambda f: f["rule"].isin(*[r.kind for r in secrets.BASE_RULES]))
+
+    def joined(spans: Column) -> Column:
+        one = lambda f: F.concat_ws(":", f["rule"], f["start"], f["end"])
+        return F.array_join(F.transform(spans, one), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["rule"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[count(r.kind).alias(f"n_{r.kind}") for r in secrets.BASE_RULES],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("findings")).alias("spans"),
+    )
+
+
+# The rules of op5, as (verdict, host, path).
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL; without a rule it is allowed."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = spark.range(1).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path"))
+                    for v, h, p in URL_RULES
+                ]
+            )
+        )
+    )
+    return urls.judge(pages, listed, "url", default="allow").drop("url")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weighing 5, 2, 1 in turn share 150 % of all words, none above twice its size."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, weights=(5, 2, 1), share=1.5, cap=2).drop("source", "text")
 
 
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and verdict of the threshold table for every text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.judge(docs).select("doc_id", *rules.BASE, "base_failed", "kept")
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_sharding": op2_sharding, "op7_mixing": op7_mixing}
+    return {
+        "op2_sharding": op2_sharding,
+        "op3_secrets": op3_secrets,
+        "op5_urls": op5_urls,
+        "op7_mixing": op7_mixing,
+        "op8_rules": op8_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
