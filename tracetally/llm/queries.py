@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracetally.llm import mixing, rules, secrets, sharding, urls
+from tracetally.llm import mixing, phrases, rules, secrets, sharding, urls
 from tracetally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a run of 10 words, or a whole shorter item, of the benchmark."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return phrases.decontaminate(docs, _table(spark, sf_dir, "benchmark"), width=10)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 7 by jump hash of doc_id; NULL text counts as empty."""
     text = F.coalesce("text", F.lit(""))
@@ -90,6 +96,7 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_sharding": op2_sharding,
         "op3_secrets": op3_secrets,
         "op5_urls": op5_urls,
