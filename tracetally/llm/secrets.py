@@ -35,7 +35,8 @@ class Rule(NamedTuple):
     least: int = 0
 
 
-# The base rules.
+# The base rules. Where a match has a least length and its last part takes all it can,
+# asking for that length in the pattern gives the same matches and spares the shorter ones.
 BASE_RULES = (
     Rule(
         "assign",
@@ -44,8 +45,8 @@ BASE_RULES = (
         group=2,
         least=12,
     ),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", least=18),
-    Rule("hex", 1, r"[0-9a-f]+", least=16),
+    Rule("access", 1, r"AKIA[A-Z0-9]{14,}"),
+    Rule("hex", 1, r"[0-9a-f]{16,}"),
 )
 RULES = BASE_RULES + (
     Rule("github", 1, r"gh[opsur]_[A-Za-z0-9]{36,}"),
