@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
 
 
+def ship(module: str) -> None:
+    """Sends the functions of ``module`` to executors by value: they need no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the folder that driver and executors share.
 

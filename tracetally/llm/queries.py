@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracetally.llm import mixing, phrases, rules, secrets, sharding, urls
+from tracetally.llm import mixing, phrases, rules, secrets, sharding, urls, warc
 from tracetally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,14 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs).select("doc_id", *rules.BASE, "base_failed", "kept")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC bundles and read back."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(spark, pages, shared_folder(spark)).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -102,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op5_urls": op5_urls,
         "op7_mixing": op7_mixing,
         "op8_rules": op8_rules,
+        "op10_warc": op10_warc,
     }
 
 
