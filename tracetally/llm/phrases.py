@@ -125,8 +125,11 @@ def search(index: DataFrame, items: DataFrame, terms: DataFrame, width: int) ->
         .select("row", "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
     )
     lists = met.groupBy("row", "item", "shift").agg(F.collect_set("at").alias("ats"))
-    wanted = pairs.groupBy("item").agg(
-        F.collect_list(F.struct("first", "stop", "at1", "at2")).alias("pairs")
+    # Stored, so that the join below is plain and Spark can split the rows of a frequent item.
+    wanted = stored(
+        pairs.groupBy("item").agg(
+            F.collect_list(F.struct("first", "stop", "at1", "at2")).alias("pairs")
+        )
     )
     both = F.filter(
         "pairs",
@@ -151,7 +154,8 @@ def search(index: DataFrame, items: DataFrame, terms: DataFrame, width: int) ->
         index.where("t > 0")
         .join(candidates.select("row").distinct(), "row", "left_semi")
         .select("t", "row", "pos")
-        .join(called, ["row", "pos", "t"])
+        # What is called for follows the corpus: a small file may stand for many rows here.
+        .join(called.hint("merge"), ["row", "pos", "t"])
         .select("row", "item", "shift", "at")
     )
     # Runs of matching places on one shift: place minus rank is constant within a run.
