@@ -183,7 +183,8 @@ def scan(
     ledger.add(pairs, find(texts, rules))
     order = F.create_map(*[x for at, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(at))])
     current = F.array(*[F.lit(n) for n in names])
-    found = (
+    # Stored, so that the join below is plain and Spark can split the rows of a hot blob.
+    found = stored(
         ledger.found()
         .where(F.array_contains(current, F.concat_ws("@", "rule", "version")))
         .groupBy(F.col("blob").alias("_blob"))
