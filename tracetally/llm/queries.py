@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracetally.llm import mixing, phrases, rules, secrets, sharding, urls, warc
+from tracetally.llm import mixing, neardup, phrases, rules, secrets, sharding, urls, warc
 from tracetally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,12 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, listed, "url", default="allow").drop("url")
 
 
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a Jaccard similarity of 0.85 on five-word shingles."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, percent=85)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weighing 5, 2, 1 in turn share 150 % of all words, none above twice its size."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -108,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op2_sharding": op2_sharding,
         "op3_secrets": op3_secrets,
         "op5_urls": op5_urls,
+        "op6_neardup": op6_neardup,
         "op7_mixing": op7_mixing,
         "op8_rules": op8_rules,
         "op10_warc": op10_warc,
