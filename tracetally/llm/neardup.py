@@ -14,8 +14,13 @@ Two texts are linked if their sets of five-word shingles have a Jaccard similari
 5. Links make components. In buckets that still hold several, pairs of different components are
    compared the same way, but only those that can reach the threshold at all: a shingle that no
    other member of such buckets has can't be in an intersection, which bounds the similarity of
-   each pair exactly. Edited copies too far from their original fall out here without being paired.
-6. Components of all links are the result.
+   each pair exactly.
+6. Members of large buckets (LARGE) are not paired like that. What a text does not have in common
+   with its hub, in either direction, is a small set in a group of edited copies; two such sets
+   differ exactly as the texts do, and two texts of different components can only be similar enough
+   if the sets share one of their rarest elements. They meet on those, exactly, in one join that
+   puts out links only.
+7. Components of all links are the result.
 
 No step brings a bucket or a component into one task, and none pairs the members of a bucket that
 are already linked. Words are maximal runs without ASCII white space, after lower-casing A to Z;
@@ -24,7 +29,7 @@ shingles are compared by 64-bit hashes.
 Defined results: a text with one to four words is one shingle; a text without words (or NULL) has
 none and is linked with nothing; repeated rows are linked; rows that share an id are one document
 with the links of all its texts; rows with a NULL id are kept and take no part; an empty table
-gives an empty result; columns called like the result's are replaced.
+gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -34,10 +39,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracetally.llm.common import ship, stored, without
+from tracetally.llm.common import ship, stored
 from tracetally.llm.components import components
 
 ship(__name__)
@@ -48,12 +53,13 @@ HASHES = 192
 BATCH = 32
 #: Chosen probability of losing a pair at the threshold, to banding and to pruning.
 MISS = 1e-6
+#: Members of buckets above this size meet through their hub.
+LARGE = 64
 #: Shingles permuted at once: bounds a task's memory whatever a text's length.
 CHUNK = 512
 SEED = 20240229
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
-ADDED = ("n_shingles", "component_id", "kept")
 
 
 def band_rows(percent: int) -> int:
@@ -277,15 +283,16 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
         .select("band", "value")
     )
     unsettled = stored(labelled.join(mixed, ["band", "value"]))
+    main = stored(_main_hubs(unsettled, hubs))
     around = stored(unsettled.select("id").distinct())
     own = stored(_own(sets.join(around, "id")))
     # |A & B| is at most what A shares with anybody, and at least this share of |A| + |B|.
     share = percent / (100 + percent)
     most = F.floor((F.col("n") - F.coalesce("own", F.lit(0))) / share + 1e-6) - F.col("n")
     open_ = stored(
-        unsettled.join(own, "id", "left").select(
-            "band", "value", "id", "n", "label", most.cast("bigint").alias("most")
-        )
+        unsettled.join(own, "id", "left")
+        .join(main.select("id", "hub"), "id", "left")
+        .select("band", "value", "id", "n", "label", "hub", most.cast("bigint").alias("most"))
     )
     # Buckets without a small enough other member for anybody have no pair to look at.
     reach = open_.groupBy("band", "value").agg(F.max("most").alias("_most"), F.min("n").alias("_n"))
@@ -300,6 +307,7 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
             & (F.col("a.value") == F.col("b.value"))
             & (F.col("a.id") > F.col("b.id"))
             & (F.col("a.label") != F.col("b.label"))
+            & F.coalesce(F.col("a.hub") != F.col("b.hub"), F.lit(True))
             & (F.col("a.n") <= F.col("b.most"))
             & (F.col("b.n") <= F.col("a.most"))
             & (100 * F.col("a.n") >= percent * F.col("b.n"))
@@ -310,7 +318,96 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
         .distinct()
     )
     second = verified(stored(pruned(_with(crossed, classes), percent)), sets, percent)
-    return first.union(second)
+    return first.union(second).union(_through_hubs(main, sets, percent))
+
+
+def _main_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``id``, ``n``, ``label`` and ``hub``, that of its largest bucket, of what large ones hold."""
+    sizes = members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members"))
+    large = stored(sizes.where(F.col("members") > LARGE).join(hubs, ["band", "value"]))
+    return (
+        members.join(large, ["band", "value"])
+        .groupBy("id", "n", "label")
+        .agg(F.max(F.struct("members", "v"))["v"].alias("hub"))
+    )
+
+
+def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among texts (``id``, ``n``, ``label``) of one ``hub``.
+
+    With D the symmetric difference of a text and the hub, |A ^ B| = |Da ^ Db|, so a pair is a link
+    if |Da ^ Db| <= k (|A| + |B|), k = (100 - percent) / (100 + percent). One of two texts of
+    different components is no link of the hub. From that it follows that a text shares with its
+    partner at least half of what its |D| exceeds the hub's bound by, if it is no link itself, and
+    at least (1 - k) / 2 of its elements, if the partner is none. So the two share one of the first
+    elements of each, in any common order; with the rarest first, few texts meet.
+    """
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                a, b = (np.frombuffer(batch.column(c)[at].as_py(), np.int64) for c in (4, 5))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(at, 1) for c in range(4)),
+                        pa.array([len(b)], pa.int64()),
+                        pa.array([np.setxor1d(a, b, assume_unique=True)], pa.list_(pa.int64())),
+                    ],
+                    ["id", "n", "label", "hub", "n_hub", "diff"],
+                )
+
+    kind = main.schema["id"].dataType.simpleString()
+    of = sets.select("id", F.col("hashes").alias("hashes_u"))
+    hub = sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hashes_v"))
+    k = (100 - percent) / (100 + percent)
+    size = F.size("diff")
+    beyond = (size - k * (F.col("n") + F.col("n_hub"))) / 2
+    half = F.ceil(size * (1 - k) / 2 - 1e-9)
+    shared = F.greatest(F.lit(1), F.when(beyond > 0, F.ceil(beyond - 1e-9)).otherwise(half))
+    texts = stored(
+        main.where("id <> hub")
+        .join(of, "id")
+        .join(hub, "hub")
+        .select("id", "n", "label", "hub", "hashes_u", "hashes_v")
+        .mapInArrow(
+            differences,
+            f"id {kind}, n bigint, label {kind}, hub {kind}, n_hub bigint, diff array<bigint>",
+        )
+        .withColumn("first", size - shared + 1)
+        # Between two texts that are no links of the hub, the second bound holds for both.
+        .withColumn("linked", beyond <= 0)
+        .withColumn("first_unlinked", size - F.greatest(F.lit(1), half) + 1)
+    )
+    elements = texts.select("hub", "id", "first", F.explode("diff").alias("element"))
+    counts = stored(elements.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("texts")))
+    rarest = Window.partitionBy("hub", "id").orderBy("texts", "element")
+    firsts = stored(
+        elements.join(counts, ["hub", "element"])
+        .withColumn("place", F.row_number().over(rarest))
+        # An element that one text alone has takes its place, but meets nothing.
+        .where("place <= first AND texts > 1")
+        .select("hub", "id", "element", "place")
+        .join(texts.drop("n_hub", "first"), ["hub", "id"])
+        .withColumn("early", F.col("place") <= F.col("first_unlinked"))
+        .drop("place", "first_unlinked")
+    )
+    a, b = firsts.alias("a"), firsts.alias("b")
+    both = F.size(F.array_intersect(F.col("a.diff"), F.col("b.diff")))
+    apart = F.size(F.col("a.diff")) + F.size(F.col("b.diff")) - 2 * both
+    total = F.col("a.n") + F.col("b.n")
+    return (
+        a.join(
+            b,
+            (F.col("a.hub") == F.col("b.hub"))
+            & (F.col("a.element") == F.col("b.element"))
+            & (F.col("a.id") > F.col("b.id"))
+            & (F.col("a.label") != F.col("b.label"))
+            & (F.col("a.linked") | F.col("b.linked") | (F.col("a.early") & F.col("b.early")))
+            & (100 * (total - apart) >= percent * (total + apart)),
+        )
+        .select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+        .distinct()
+    )
 
 
 def _own(sets: DataFrame) -> DataFrame:
