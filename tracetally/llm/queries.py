@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracetally.llm import mixing, neardup, phrases, rules, secrets, sharding, urls, warc
+from tracetally.llm import mixing, neardup, phrases, quality, rules, secrets, sharding
+from tracetally.llm import tokens, urls, warc
 from tracetally.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's score for quality, by a model of the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 # The rules of op5, as (verdict, host, path).
 URL_RULES = (
     ("allow", "com", "/"),
@@ -100,6 +108,14 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs).select("doc_id", *rules.BASE, "base_failed", "kept")
 
 
+def op9_tokens(
+    spark: SparkSession, sf_dir: str, pieces: str = "/opt/tokenizers/piece_bpe_32k.model"
+) -> DataFrame:
+    """Tokens of every text; ``pieces`` is the path of a published vocabulary."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, tokens.zipf_scores(tokens.load_pieces(pieces)))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC bundles and read back."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -113,10 +129,12 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": op1_decontamination,
         "op2_sharding": op2_sharding,
         "op3_secrets": op3_secrets,
+        "op4_quality": op4_quality,
         "op5_urls": op5_urls,
         "op6_neardup": op6_neardup,
         "op7_mixing": op7_mixing,
         "op8_rules": op8_rules,
+        "op9_tokens": op9_tokens,
         "op10_warc": op10_warc,
     }
 
