@@ -232,14 +232,17 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
             [pa.array([weights]), pa.array([[constant, slope, shift]])], ["weights", "rest"]
         )
 
+    order = F.xxhash64(F.col("id").cast("string"))
     chosen = [
+        # About twice the rows needed, so that no task sends more on than it must.
         rows.where(F.col("label") == label)
-        .orderBy(F.xxhash64(F.col("id").cast("string")), "id")
+        .where(F.pmod(order, F.lit(1 << 20)) < (1 << 21) * most / totals[label])
+        .orderBy(order, "id")
         .limit(most)
         for label in (0, 1)
     ]
     # Sorted by a hash over both classes, so that each fourth row is a fair quarter of each.
-    sample = chosen[0].union(chosen[1]).coalesce(1).sortWithinPartitions(F.xxhash64(F.col("id").cast("string")), "id")
+    sample = chosen[0].union(chosen[1]).coalesce(1).sortWithinPartitions(order, "id")
     model = sample.select("label", "features").mapInArrow(
         train, "weights array<double>, rest array<double>"
     ).first()
