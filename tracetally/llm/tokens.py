@@ -34,7 +34,7 @@ SPACE = "▁"
 NODES = 500_000
 #: Longer pre-tokens are counted by themselves and not kept.
 LONGEST = 256
-ADDED = ("n_pretokens", "n_tokens")
+ADDED = "n_tokens"
 _CUT = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
 
@@ -64,108 +64,120 @@ def load_pieces(path: str) -> list[str]:
     return [model.id_to_piece(at) for at in plain]
 
 
-def pretokens(text: str | None) -> list[str]:
-    return _CUT.findall(SPACE + text.replace(" ", SPACE)) if text else []
+def pretokens_of(marked: str) -> list[str]:
+    """The pre-tokens of a text whose spaces are SPACE already."""
+    return _CUT.findall(marked)
 
 
-class Trie:
-    """Forward scores of prefixes, and token counts of the words that end at a node."""
+class Trie(dict):
+    """Tokens of words, by the forward scores that the words' prefixes share.
+
+    As a dict it has the words' token counts, each counted when it is first asked for; a word is
+    what stands between two spaces and starts with an implicit SPACE.
+    """
 
     def __init__(self, scores: dict[str, int]):
+        super().__init__()
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
         # A byte is less likely than every piece.
         self.byte = min(scores.values(), default=0) - 10_000_000
+        # The longest piece that ends with a character bounds how far back to look from it.
+        self.reach: dict[str, int] = {}
+        for piece in scores:
+            self.reach[piece[-1]] = max(len(piece), self.reach.get(piece[-1], 0))
+        self.forget()
+
+    def forget(self) -> None:
         self.clear()
+        self.edges: dict[tuple[int, str], int] = {}
+        self.best, self.tokens = [0], [0]
 
-    def clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
-        self.best = [0]
-        self.count = [0]
-        self.words: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        if "\n" in word or len(word) > LONGEST:
+            return sum(map(self.insert, pretokens_of(SPACE + word)))
+        found = self[word] = self.insert(SPACE + word)
+        return found
 
     def insert(self, word: str) -> int:
-        """Tokens of ``word``, whose nodes are added where they are missing."""
-        children, best, count = self.children, self.best, self.count
-        node, path = 0, [0]
+        """Tokens of the pre-token ``word``, whose nodes are added where they are missing."""
+        if len(word) > LONGEST:
+            return self.alone(word)
+        edges, node, path = self.edges, 0, [0]
         for end, character in enumerate(word, 1):
-            below = children[node].get(character)
+            below = edges.get((node, character))
             if below is None:
-                below = len(best)
-                children[node][character] = below
-                children.append({})
+                below = edges[node, character] = len(self.best)
                 score, fewer = self._forward(word, end, path)
-                best.append(score)
-                count.append(-fewer)
+                self.best.append(score)
+                self.tokens.append(-fewer)
             node = below
             path.append(node)
-        return count[node]
+        return self.tokens[node]
 
     def _forward(self, word: str, end: int, path: list[int]) -> tuple[int, int]:
         """The best (score, minus tokens) of the first ``end`` characters; ``path`` has the nodes
         of all shorter prefixes."""
-        scores, best, count = self.scores, self.best, self.count
-        last = path[end - 1]
-        width = len(word[end - 1].encode())
-        found = (best[last] + width * self.byte, -count[last] - width)
-        for start in range(max(0, end - self.longest), end):
+        scores, best, tokens = self.scores, self.best, self.tokens
+        last, character = path[end - 1], word[end - 1]
+        width = len(character.encode())
+        top, fewer = best[last] + width * self.byte, -tokens[last] - width
+        for start in range(max(0, end - self.reach.get(character, 0)), end):
             score = scores.get(word[start:end])
             if score is not None:
                 before = path[start]
-                found = max(found, (best[before] + score, -count[before] - 1))
-        return found
-
-    def __getitem__(self, word: str) -> int:
-        known = self.words.get(word)
-        if known is None:
-            if len(word) > LONGEST:
-                return Trie.alone(self, word)
-            known = self.words[word] = self.insert(word)
-        return known
+                score += best[before]
+                if score > top or score == top and -tokens[before] - 1 > fewer:
+                    top, fewer = score, -tokens[before] - 1
+        return top, fewer
 
     def alone(self, word: str) -> int:
-        """A very long pre-token, in a trie of its own that is only as long as a piece at a time."""
-        best, count = [0], [0]
-        for end in range(1, len(word) + 1):
-            width = len(word[end - 1].encode())
-            found = (best[-1] + width * self.byte, -count[-1] - width)
-            for start in range(max(0, end - self.longest), end):
+        """A very long pre-token, of which only as many prefixes are kept as a piece reaches."""
+        keep = max(self.reach.values(), default=0) + 1
+        best, tokens = [0], [0]
+        for end, character in enumerate(word, 1):
+            width = len(character.encode())
+            found = (best[-1] + width * self.byte, -tokens[-1] - width)
+            for start in range(max(0, end - self.reach.get(character, 0)), end):
                 score = self.scores.get(word[start:end])
                 if score is not None:
-                    back = start - end
-                    found = max(found, (best[back] + score, -count[back] - 1))
+                    found = max(found, (best[start - end] + score, -tokens[start - end] - 1))
             best.append(found[0])
-            count.append(-found[1])
-            if len(best) > self.longest + 1:
-                del best[0], count[0]
-        return count[-1]
+            tokens.append(-found[1])
+            if len(best) > keep:
+                del best[0], tokens[0]
+        return tokens[-1]
+
+    def count(self, text: str | None) -> int:
+        if not text:
+            return 0
+        if text[0] == " " or "  " in text or SPACE in text:
+            return sum(map(self.insert, pretokens_of(SPACE + text.replace(" ", SPACE))))
+        return sum(map(self.__getitem__, text.split(" ")))
 
 
 def count_tokens(docs: DataFrame, scores: dict[str, int], text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with ``n_pretokens`` and ``n_tokens``.
+    """``docs`` without ``text``, with ``n_tokens``.
 
     Nothing is shuffled: a task keeps the trie of the words it has met, up to NODES nodes.
     ``scores`` go to the executors; a vocabulary is bounded by its file.
     """
-    rows = without(docs, *ADDED)
+    rows = without(docs, ADDED)
     kept = [f for f in rows.schema.fields if f.name != text]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(scores)
         for batch in batches:
-            words, tokens = [], []
+            tokens = []
             for value in batch.column(len(kept)):
-                found = pretokens(value.as_py())
-                words.append(len(found))
-                tokens.append(sum(map(trie.__getitem__, found)))
+                tokens.append(trie.count(value.as_py()))
                 if len(trie.best) > NODES:
-                    trie.clear()
+                    trie.forget()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(kept)], pa.array(words, pa.int64()), pa.array(tokens, pa.int64())],
-                [*(f.name for f in kept), *ADDED],
+                [*batch.columns[: len(kept)], pa.array(tokens, pa.int64())],
+                [*(f.name for f in kept), ADDED],
             )
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
     return rows.select(*[f.name for f in kept], text).mapInArrow(
-        count, f"{kinds}n_pretokens bigint, n_tokens bigint"
+        count, f"{kinds}n_tokens bigint"
     )
