@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tracetally.llm import mixing, neardup, phrases, quality, rules, secrets, sharding
 from tracetally.llm import tokens, urls, warc
 from tracetally.llm.common import shared_folder
+from tracetally.llm.oracles import oracle_sql  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +139,3 @@ def queries() -> dict[str, Query]:
         "op10_warc": op10_warc,
     }
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
