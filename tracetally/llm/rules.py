@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracetally.llm.common import WHITE, white_words, without
+from tracetally.llm.common import white_words, without
 
 
 class Threshold(NamedTuple):
@@ -104,24 +104,22 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     n = count.cast("bigint")
     word_chars = F.length(F.array_join("_words", "")).cast("bigint")
     some = F.greatest(n, F.lit(1))
-    return rows.select(
-        *names,
+    dup_lines = F.size("_lines") - F.size(F.array_distinct("_lines"))
+    repeat = F.when(F.col("_sorted").isNull(), 0).otherwise(F.size(F.array_distinct(covered)))
+    metrics = F.struct(
         n.alias("n_words"),
         word_chars.alias("word_chars"),
         "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.when(F.col("_sorted").isNull(), 0)
-        .otherwise(F.size(F.array_distinct(covered)))
-        .cast("bigint")
-        .alias("n_repeat_words"),
+        dup_lines.cast("bigint").alias("n_dup_lines"),
+        repeat.cast("bigint").alias("n_repeat_words"),
         (word_chars / some).alias("mean_word_chars"),
         (F.col("n_symbols") / F.greatest(word_chars, F.lit(1))).alias("symbol_ratio"),
         (F.col("_stops") / some).alias("stop_word_ratio"),
-        (
-            (F.size("_lines") - F.size(F.array_distinct("_lines")))
-            / F.greatest(F.size("_lines"), F.lit(1))
-        ).alias("dup_line_ratio"),
+        (dup_lines / F.greatest(F.size("_lines"), F.lit(1))).alias("dup_line_ratio"),
     )
+    # Through inline, a later filter on a metric can't be moved below, where it would put the
+    # expressions into each other and split the text anew for every word.
+    return rows.select(*names, F.inline(F.array(metrics)))
 
 
 def compiled(thresholds: Sequence[Threshold]) -> Column:
