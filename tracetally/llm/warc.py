@@ -203,6 +203,8 @@ def parse(record: bytes) -> dict:
     """A record's fields; the payload of a revisit is None."""
     head, _, rest = record.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
+    if lines[0] != "WARC/1.1":
+        raise ValueError("no record starts where the index has one")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
