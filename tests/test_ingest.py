@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from micro import FEB, IMPORTS, S, as_tuples
 
 from tracetally.plans import reports
@@ -227,7 +228,7 @@ def test_reports_round_trip(spark, tmp_path, fmt):
     for name in ("commit_trend", "top_recipes", "dashboard_kpis_summary"):
         result = getattr(reports, name)(trace)
         out = tmp_path / name
-        write_report(result, str(out), fmt)
+        write_report(result, str(out), fmt, one_file=True)
         assert len(list(out.glob("part-*"))) == 1
         back = read_report(spark, str(out), name, fmt)
         assert as_tuples(back) == as_tuples(result)
@@ -252,3 +253,56 @@ def test_following_a_folder_takes_each_file_once(spark, tmp_path):
     write(source / "2.csv", COMMIT, commit_line("o/b", "u2", "c2"))
     assert [row[1] for row in follow()] == [2]
     assert [row[1] for row in follow()] == [2]
+
+
+def test_malformed_lines_are_set_aside(spark, tmp_path):
+    head = "origin,path,branch,developer,runId,runOutcome,runEstimatedEffortSavings,commitId,commitOutcome"
+    good = 'gh,o/a,main,al,r1,Succeeded,5,c1,Succeeded'
+    quoted = 'gh,"o/b, ""x""",main,al,r1,Succeeded,5,c1,Succeeded'
+    longer, shorter = 'gh,o/a,b,main,al,r1,Succeeded,5,c2,Succeeded', "gh,o/c,main"
+    empty = "," * head.count(",")
+    write(tmp_path / "in" / "t.csv", head, good, longer, quoted, shorter, head, empty)
+    out = str(tmp_path / "out")
+    counts = ingest(spark, str(tmp_path / "in"), into=out)
+    assert counts == {"rows": 3, "malformed": 2, "repeated_headers": 1}
+    trace = open_trace(spark, out)
+    assert {row.path for row in trace.collect()} == {"o/a", 'o/b, "x"', None}
+    assert trace.where("commitId IS NOT NULL").count() == 2
+    assert {row.value for row in spark.read.text(f"{out}_malformed").collect()} == {longer, shorter}
+    assert read_traces(spark, str(tmp_path / "in")).select("path").count() == 3
+    with pytest.raises(Exception, match="malformed line"):
+        ingest(spark, str(tmp_path / "in"), into=f"{out}2", malformed="fail")
+
+
+def test_another_header_further_down_is_refused(spark, tmp_path):
+    head = "origin,path,branch,developer,runId"
+    for name, other in (("a", "path,origin,branch,developer,runId"), ("b", f"{head},commitId")):
+        write(tmp_path / name / "t.csv", head, "gh,o/a,main,al,r1", other, "o/a,gh,main,al,r1")
+        with pytest.raises(Exception, match="header"):
+            ingest(spark, str(tmp_path / name), into=str(tmp_path / f"{name}-out"))
+
+
+def test_following_counts_what_it_leaves_out(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write(tmp_path / "in" / "1.csv", COMMIT, commit_line(), "gh,o/c,main", COMMIT)
+    query = follow_traces(
+        spark, str(tmp_path / "in"), out, str(tmp_path / "done"), COMMIT.split(",")
+    )
+    query.awaitTermination(60)
+    assert open_trace(spark, out).count() == 1
+    (lost,) = [p.observedMetrics["losses"] for p in query.recentProgress if p.observedMetrics]
+    assert (lost["rows"], lost["malformed"], lost["repeated_headers"]) == (1, 1, 1)
+
+
+def test_an_unlimited_ranking_is_written_by_several_tasks(spark, tmp_path):
+    names = spark.range(0, 4000, 1, 4).selectExpr("concat('u', id) AS user", "id % 97 AS runs")
+    result = names.orderBy(F.desc("runs"), "user")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_report(result, str(tmp_path / "r"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "r").glob("part-*"))
+    assert len(parts) > 1
+    lines = [line for part in parts for line in part.read_text().splitlines()[1:]]
+    assert lines == [f"{row.user},{row.runs}" for row in result.collect()]

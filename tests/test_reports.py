@@ -240,3 +240,21 @@ def test_failed_rows_count_as_commit_jobs(micro):
     assert (month, jobs, repos, succeeded, hours) == (FEBRUARY, 1, 2, 1, 0.6)
     assert FAILED in {row.commitOutcome for row in micro.select("commitOutcome").collect()}
     assert JANUARY < FEBRUARY
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
+def test_times_without_a_zone_are_utc(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = spark.sql(
+            "SELECT timestamp_ntz'2026-03-01 00:00:00' AS ntz, '2026-03-01 00:00:00' AS text, "
+            "'2026-03-01' AS day, date'2026-03-01' AS date, '2026-03-01T00:00:00Z' AS utc, "
+            "'2026-02-28T23:30:00.5-01:00' AS offset, timestamp'2026-03-01 00:00:00Z' AS instant"
+        )
+        got = times.select(*[period_start(name) for name in times.columns]).first()
+        assert {str(day) for day in got} == {"2026-03-01"}
+        typed = conform(times.select(F.col("ntz").alias("commitStartTime")))
+        assert str(typed.select(period_start("commitStartTime")).first()[0]) == "2026-03-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

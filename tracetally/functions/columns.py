@@ -43,6 +43,25 @@ def not_succeeded(stage: str) -> Column:
     return F.col(f"{stage}Outcome") != SUCCEEDED
 
 
+# A time of day followed by an offset or a zone.
+_ZONED = r"[T ][0-9:.]+\s*(Z|z|UTC|GMT|[+-][0-9:]+|[A-Za-z]+/[A-Za-z_/]+)$"
+
+
+def utc_timestamp(value: Column) -> Column:
+    """``value`` as a timestamp; what names no zone (text, TIMESTAMP_NTZ, DATE) is UTC.
+
+    Unparsable text gives NULL. The type is known when the query is planned, so only one of the
+    branches is left in the plan.
+    """
+    text = F.trim(value.cast("string"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    wall = F.timestamp_micros(
+        F.timestamp_diff("MICROSECOND", epoch, text.try_cast("timestamp_ntz"))
+    )
+    parsed = F.when(text.rlike(_ZONED), text.try_cast("timestamp")).otherwise(wall)
+    return F.when(F.typeof(value) == "timestamp", value.try_cast("timestamp")).otherwise(parsed)
+
+
 def period_start(column: str, grain: str = "month") -> Column:
     """First UTC day of the week (Monday), month, quarter or year that ``column`` falls in.
 
@@ -51,7 +70,7 @@ def period_start(column: str, grain: str = "month") -> Column:
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {', '.join(GRAINS)}, not {grain!r}")
-    seconds = F.unix_seconds(F.col(column).try_cast("timestamp"))
+    seconds = F.unix_seconds(utc_timestamp(F.col(column)))
     day = F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
     return F.trunc(day, grain)
 

@@ -8,12 +8,12 @@ from tracetally.schema import REPORTS
 
 
 def write_report(
-    result: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", one_file: bool = True
+    result: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", one_file: bool = False
 ) -> None:
     """Writes a result below ``path``, CSV with a header line.
 
-    ``one_file`` suits reports per period or tool, which stay small whatever the trace holds, and
-    keeps a sorted result in order. Turn it off for rankings without a limit over many keys.
+    A sorted result keeps its order over the part files. ``one_file`` suits reports per period or
+    tool and limited rankings, which stay small whatever the trace holds; it is one task.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"fmt must be csv or parquet, not {fmt!r}")

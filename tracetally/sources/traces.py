@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracetally.functions.columns import utc_timestamp
 from tracetally.schema import COMMON_COLUMNS, STAGES, TRACE
 
 def _typed(field: T.StructField, source: str | None, kind: T.DataType | None) -> Column:
@@ -28,7 +29,11 @@ def _typed(field: T.StructField, source: str | None, kind: T.DataType | None) ->
     value = F.col(_quoted(source))
     if isinstance(kind, T.StringType):
         value = F.nullif(value, F.lit(""))
-    return value if kind == field.dataType else value.try_cast(field.dataType)
+    if kind == field.dataType:
+        return value
+    if isinstance(field.dataType, T.TimestampType):
+        return utc_timestamp(value)
+    return value.try_cast(field.dataType)
 
 
 def _quoted(name: str) -> str:
@@ -63,27 +68,73 @@ def conform(raw: DataFrame) -> DataFrame:
     )
 
 
-def conform_counting_rejects(raw: DataFrame) -> tuple[DataFrame, Observation]:
-    """:func:`conform`, and an observation of how many values of each typed column did not parse.
+#: Column of raw traces with the text of a line that has more or fewer cells than its header.
+MALFORMED = "_malformed"
 
-    The counts are collected while the result is written or otherwise fully read; ``get`` waits.
+
+def _whole(raw: DataFrame) -> Column:
+    """True for lines with as many cells as the header."""
+    return F.col(MALFORMED).isNull() if MALFORMED in raw.columns else F.lit(True)
+
+
+def _repeats_header(raw: DataFrame) -> Column:
+    """True for a header line among the data, as in files that were put end to end.
+
+    A header with other columns fails the query: what follows it would be in the wrong columns.
     """
     sources = _sources(raw)
-    counts = [F.count(F.lit(1)).alias("rows")]
+    names = [name.lower() for name in COMMON_COLUMNS if name.lower() in sources]
+    if MALFORMED not in raw.columns or not names:
+        return F.lit(False)
+    cells = {name: F.lower(F.trim(F.col(_quoted(sources[name][0])))) for name in names}
+    same = reduce(and_, [F.coalesce(cells[name] == name, F.lit(False)) for name in names])
+    documented = [name.lower() for name in TRACE.names]
+    # In whole lines, a cell that names another column; in others, all common names in the line.
+    other = reduce(and_, [F.coalesce(cell.isin(documented), F.lit(False)) for cell in cells.values()])
+    longer = F.coalesce(_is_header(MALFORMED), F.lit(False))
+    wrong = F.raise_error(F.lit("a file has another header further down")).cast("boolean")
+    return F.when(longer | (_whole(raw) & other & ~same), wrong).otherwise(same)
+
+
+def sound(raw: DataFrame) -> DataFrame:
+    """The rows of a raw trace that are data, in lines with as many cells as their header."""
+    return raw.where(_whole(raw) & ~_repeats_header(raw))
+
+
+def loss_counts(raw: DataFrame) -> list[Column]:
+    """Aggregates to observe on a raw trace: rows, and what :func:`conform` and :func:`sound` lose."""
+    sources = _sources(raw)
+    whole, header = _whole(raw), _repeats_header(raw)
+    kept = whole & ~header
+    counts = [
+        F.count_if(kept).alias("rows"),
+        F.count_if(~whole).alias("malformed"),
+        F.count_if(whole & header).alias("repeated_headers"),
+    ]
     for field in TRACE.fields:
         source, kind = sources.get(field.name.lower(), (None, None))
         if source is None or kind == field.dataType:
             continue
         text = F.nullif(F.col(_quoted(source)).cast("string"), F.lit(""))
         lost = text.isNotNull() & _typed(field, source, kind).isNull()
-        counts.append(F.count_if(lost).alias(field.name))
+        counts.append(F.count_if(kept & lost).alias(field.name))
+    return counts
+
+
+def conform_counting_rejects(raw: DataFrame) -> tuple[DataFrame, Observation]:
+    """:func:`conform` of the sound rows, and an observation of what was lost: how many values of
+    each typed column did not parse, ``malformed`` lines and ``repeated_headers``.
+
+    The counts are collected while the result is written or otherwise fully read; ``get`` waits.
+    """
+    counts = loss_counts(raw)
     rejects = Observation()
-    return conform(raw.observe(rejects, *counts)), rejects
+    return conform(sound(raw.observe(rejects, *counts))), rejects
 
 
-def _is_header() -> Column:
+def _is_header(column: str = "value") -> Column:
     """True for a line that has all the common column names among its fields."""
-    line = F.lower("value")
+    line = F.lower(column)
     # Substrings first: they rule out nearly every data line at a fraction of a pattern's cost.
     mentions = [line.contains(name) for name in COMMON_COLUMNS]
     fields = [line.rlike(rf'(^|,)\s*"?{name}"?\s*(,|$)') for name in COMMON_COLUMNS]
@@ -126,21 +177,30 @@ def _as_path(uri: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
 
+#: How raw traces are read. A line with too many or too few cells is flagged, which takes looking
+#: at all its cells. A file with another header than the scan's fails it instead of swapping columns.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "enforceSchema": False,
+    "columnNameOfCorruptRecord": MALFORMED,
+    "columnPruning": False,
+}
+
+
+def raw_schema(names: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*names, MALFORMED]])
+
+
 def _read_group(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
     """Files that share a header, as text columns named by it."""
     first = _lines(spark, paths[:1]).where(_is_header()).first()
     if first is None:
         raise ValueError(f"no trace header below {paths[0]}")
     names = next(csv.reader([first.value]))
-    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    reader = spark.read.schema(text).options(
-        recursiveFileLookup=True,
-        header=True,
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-        # A file whose header is not the group's fails the read instead of swapping columns.
-        enforceSchema=False,
+    reader = spark.read.schema(raw_schema(names)).options(
+        recursiveFileLookup=True, multiLine=multi_line, **CSV_OPTIONS
     )
     return reader.csv(paths)
 
@@ -151,7 +211,9 @@ def read_raw_traces(
     one_header: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
-    """All trace files below ``paths`` as text columns, joined up by name.
+    """All trace files below ``paths`` as text columns, joined up by name, all lines included.
+
+    :data:`MALFORMED` has the text of lines with a wrong number of cells; :func:`sound` drops them.
 
     ``one_header``  the files are known to share one header: spare the pass that looks for
                     headers. It is taken from the first of ``paths``; the scan still checks every
@@ -173,9 +235,8 @@ def read_traces(
     spark: SparkSession, *paths: str, one_header: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """The typed trace straight from CSV. For more than one report, :func:`ingest` it first."""
-    return conform(
-        read_raw_traces(spark, *paths, one_header=one_header, multi_line=multi_line)
-    )
+    raw = read_raw_traces(spark, *paths, one_header=one_header, multi_line=multi_line)
+    return conform(sound(raw))
 
 
 def clustered(trace: DataFrame) -> DataFrame:
@@ -200,15 +261,30 @@ def ingest(
     mode: str = "append",
     one_header: bool = False,
     multi_line: bool = False,
+    malformed: str = "aside",
 ) -> Mapping[str, int]:
     """CSV files to the Parquet trace at ``into``, parsed once and without a shuffle.
 
-    Returns the number of rows, and per column that had any, of values that did not parse.
+    Returns the number of rows, and if there were any, of values that did not parse per column, of
+    ``malformed`` lines (more or fewer cells than the header) and of ``repeated_headers``.
+
+    ``malformed``  what becomes of such lines: with ``aside`` they are written as text to a folder
+                   next to ``into`` that ends in ``_malformed``, for which the files are read again
+                   if there are any; with ``fail`` nothing is stored. They are never in the trace.
     """
+    if malformed not in ("aside", "fail"):
+        raise ValueError(f"malformed must be aside or fail, not {malformed!r}")
     raw = read_raw_traces(spark, *paths, one_header=one_header, multi_line=multi_line)
+    if malformed == "fail":
+        refused = F.raise_error(F.concat(F.lit("malformed line: "), MALFORMED)).cast("boolean")
+        raw = raw.where(F.when(_whole(raw), True).otherwise(refused))
     trace, rejects = conform_counting_rejects(raw)
     save_trace(trace, into, mode)
-    return {name: n for name, n in rejects.get.items() if n or name == "rows"}
+    counts = {name: n for name, n in rejects.get.items() if n or name == "rows"}
+    if counts.get("malformed"):
+        lines = raw.where(~_whole(raw) & ~_repeats_header(raw)).select(MALFORMED)
+        lines.write.mode(mode).text(f"{into.rstrip('/')}_malformed")
+    return counts
 
 
 def open_trace(spark: SparkSession, *paths: str) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tracetally.sources.traces import conform
+from tracetally.sources.traces import CSV_OPTIONS, conform, loss_counts, raw_schema, sound
+
+#: Name of the counts in a batch's ``observedMetrics``.
+LOSSES = "losses"
 
 
 def follow_traces(
@@ -25,22 +27,16 @@ def follow_traces(
     those done, also across a lost driver, and the Parquet sink commits a batch whole or not at
     all. All files must share ``header``; a different one fails the batch, so use a source folder
     per stage. ``into`` must be a folder of its own, which ``open_trace`` reads together with
-    others. Reports stay batch queries over the result: exact distinct counts need all of a period.
+    others. Malformed lines and repeated headers are left out, and counted like all losses in each
+    batch's ``observedMetrics``, as ``ingest`` counts them. Reports stay batch queries over the result: exact distinct counts need all of a period.
     """
-    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     raw = (
-        spark.readStream.schema(text)
-        .options(
-            header=True,
-            quote='"',
-            escape='"',
-            enforceSchema=False,
-            maxFilesPerTrigger=files_per_batch,
-        )
+        spark.readStream.schema(raw_schema(header))
+        .options(maxFilesPerTrigger=files_per_batch, **CSV_OPTIONS)
         .csv(source)
     )
     return (
-        conform(raw)
+        conform(sound(raw.observe(LOSSES, *loss_counts(raw))))
         .writeStream.format("parquet")
         .option("path", into)
         .option("checkpointLocation", checkpoint)
