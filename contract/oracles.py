@@ -3,8 +3,58 @@
 from __future__ import annotations
 
 from contract.trace_fixture import TRACE_SQL
-from tracetally.functions.columns import GRAINS
-from tracetally.operators.shaping import SERIES
+
+# The charted series per long key, spelled out here on purpose, so that the answers
+# owe nothing to the library's own lists.
+_LONG = {
+    "build_success_trend_long": (
+        "build_success_trend",
+        "month",
+        "successful_builds Successful Builds, failed_builds Failed Builds, "
+        "success_rate_pct Success Rate %",
+    ),
+    "trend_long": (
+        "recipe_run_trend",
+        "month",
+        "recipe_runs Recipe Runs, distinct_recipes Distinct Recipes, unique_users Unique Users",
+    ),
+    "dashboard_kpis_trend_long": (
+        "dashboard_kpis_trend",
+        "month",
+        "recipe_runs Recipe Runs, commits Commits, estimated_hours_saved Est. Hours Saved",
+    ),
+    "commit_trend_long": (
+        "commit_trend",
+        "month",
+        "recipe_runs Recipe Runs, successful_commits Successful Commits, "
+        "repos_with_commits Repos with Commits, unique_users Unique Users, "
+        "unique_recipes Unique Recipes, estimated_hours_saved Est. Hours Saved",
+    ),
+    "commit_activity_long": (
+        "commit_activity",
+        "month",
+        "successful_commits Successful Commits, unique_repos_changed Unique Repos Changed, "
+        "estimated_hours_saved Est. Hours Saved",
+    ),
+    "security_recipe_run_trend_long": (
+        "security_recipe_run_trend",
+        "month",
+        "successful_commits Successful Commits, unique_repos_fixed Unique Repos Fixed, "
+        "distinct_recipes Distinct Recipes, files_remediated Files Remediated, "
+        "estimated_hours_saved Est. Hours Saved",
+    ),
+    "top_recipes_long": (
+        "top_recipes",
+        "recipe_id, recipe_name",
+        "repos_searched Repos Searched, unique_users Unique Users, recipe_runs Recipe Runs",
+    ),
+    "top_recipes_with_commits_long": (
+        "top_recipes_with_commits",
+        "recipe_id, recipe_name",
+        "commits Commits, unique_users Unique Users",
+    ),
+    "top_users_long": ("top_users", "developer", "recipe_runs Recipe Runs, commits Commits"),
+}
 
 _TRACE = TRACE_SQL.format(lineitem="lineitem", orders="orders").strip()
 _HOURS = "round(CAST(sum(runEstimatedEffortTimeSavingsMs) AS DOUBLE) / 3600000, 1)"
@@ -134,12 +184,11 @@ def _top_recipes_with_commits(limit: str = "") -> str:
         ORDER BY commits DESC, recipe_id {limit}"""
 
 
-def _long(report: str, wide: str) -> str:
-    points, series = SERIES[report]
+def _long(wide: str, points: str, series: str) -> str:
     rows = " UNION ALL ".join(
-        f"SELECT {', '.join(points)}, {order} AS series_order, '{label}' AS series, "
+        f"SELECT {points}, {order} AS series_order, '{label}' AS series, "
         f"CAST({column} AS DOUBLE) AS value FROM wide"
-        for order, (column, label) in enumerate(series, 1)
+        for order, (column, label) in enumerate((s.split(" ", 1) for s in series.split(", ")), 1)
     )
     return f"SELECT * FROM (WITH wide AS ({wide}) {rows})"
 
@@ -199,6 +248,40 @@ def _repos_on_tool_version(tool: str, prefix: str) -> str:
           AND starts_with(coalesce({_VERSION}, 'Unknown'), '{prefix}')"""
 
 
+def _deepest_stage_kpis() -> str:
+    """The KPIs over the trace and its run-only copy, each repository of a run once.
+
+    The fixture's origin and branch are constants, so path and developer name the repository.
+    """
+    columns = {2: [*_VERSIONS, "buildOutcome", "buildStartTime"]}
+    columns[3] = [f"run{name}" for name in (
+        "Outcome", "StartTime", "RecipeId", "RecipeInstanceName", "EstimatedEffortTimeSavingsMs",
+        "FilesWithFixResults",
+    )]
+    columns[6] = ["commitOutcome", "commitStartTime", "commitId"]
+    reached = ", ".join(
+        f"CASE WHEN depth >= {depth} THEN {name} END AS {name}"
+        for depth, names in columns.items()
+        for name in names
+    )
+    kpis = _dashboard_kpis_summary().replace("FROM trace", "FROM reduced")
+    return f"""
+        SELECT * FROM (WITH twice AS (
+            SELECT * FROM trace
+            UNION ALL BY NAME SELECT * EXCLUDE (commitOutcome, commitStartTime, commitId) FROM trace),
+        deep AS (
+            SELECT *, CASE WHEN commitOutcome IS NOT NULL THEN 6 WHEN runOutcome IS NOT NULL THEN 3
+                           WHEN buildOutcome IS NOT NULL THEN 2 ELSE 0 END AS depth FROM twice),
+        latest AS (
+            SELECT * FROM deep WHERE runId IS NOT NULL
+            QUALIFY depth = max(depth) OVER (PARTITION BY path, developer, buildId, runId)),
+        reduced AS (
+            SELECT * FROM deep WHERE runId IS NULL
+            UNION ALL BY NAME SELECT DISTINCT path, developer, buildId, runId, depth, {reached}
+            FROM latest)
+        {kpis})"""
+
+
 _TRENDS = {
     "build_success_trend": _build_success_trend,
     "recipe_run_trend": _recipe_run_trend,
@@ -221,12 +304,10 @@ def report_selects() -> dict[str, str]:
     """Every query over a relation ``trace``."""
     selects = {name: make() for name, make in {**_TRENDS, **_TABLES}.items()}
     for name, make in _TRENDS.items():
-        for grain in GRAINS:
-            if grain != "month":
-                selects[f"{name}_{grain}"] = make(grain)
-    for report in SERIES:
-        key = "trend_long" if report == "recipe_run_trend" else f"{report}_long"
-        selects[key] = _long(report, selects[report])
+        for grain in ("week", "quarter", "year"):
+            selects[f"{name}_{grain}"] = make(grain)
+    for key, (report, points, series) in _LONG.items():
+        selects[key] = _long(selects[report], points, series)
     selects |= {
         "top_recipes_limit": _top_recipes("LIMIT 3"),
         "top_users_limit": _top_users("LIMIT 20"),
@@ -238,6 +319,9 @@ def report_selects() -> dict[str, str]:
         ),
         "repos_on_tool_version": _repos_on_tool_version("Maven", "3.6"),
         "recipe_run_commit_gap": _recipe_run_commit_gap(),
+        "commit_trend_typed": _commit_trend(),
+        "commit_trend_zoneless": _commit_trend(),
+        "deepest_stage_kpis": _deepest_stage_kpis(),
         "build_tool_share": _build_tool_share(),
         "build_tool_version_labels": f"""
             SELECT *, build_tool || ' ' || tool_version AS label

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from contract.trace_fixture import fixture_trace
 from tracetally.functions.columns import GRAINS, SECURITY_PATTERNS, recipe_is, recipe_like
 from tracetally.operators import shaping
 from tracetally.plans import reports
 from tracetally.schema import TRACE
-from tracetally.sources.traces import conform
+from tracetally.sources.traces import conform, deepest_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +35,12 @@ _TABLES = (
 _COMMIT_AND_LATER = [name for name in TRACE.names if name.startswith(("commit", "push"))]
 
 
+def _zoneless(trace: DataFrame) -> DataFrame:
+    """``trace`` with TIMESTAMP_NTZ times, as other tools write them to Parquet."""
+    wall = F.regexp_replace(F.col("commitStartTime").cast("string"), "Z$", "")
+    return trace.withColumn("commitStartTime", wall.try_cast("timestamp_ntz"))
+
+
 def _over_trace(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(fixture_trace(spark, sf_dir))
 
@@ -61,6 +68,11 @@ def over_any_trace() -> dict[str, Callable[[DataFrame], DataFrame]]:
         ),
         "repos_on_tool_version": lambda t: reports.repos_on_tool_version(t, "Maven", "3.6"),
         "recipe_run_commit_gap": reports.recipe_run_commit_gap,
+        "commit_trend_typed": lambda t: reports.commit_trend(conform(t)),
+        "commit_trend_zoneless": lambda t: reports.commit_trend(conform(_zoneless(t))),
+        "deepest_stage_kpis": lambda t: reports.dashboard_kpis_summary(
+            deepest_stage(conform(t).unionByName(conform(t.drop(*_COMMIT_AND_LATER))))
+        ),
         "build_tool_share": lambda t: shaping.build_tool_share(reports.build_tool_summary(t)),
         "build_tool_version_labels": lambda t: shaping.build_tool_version_labels(
             reports.build_tool_versions(t)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 import pytest
 from conftest import SF_DIR
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from contract import oracles, registry
 from contract.trace_fixture import TRACE_SQL, fixture_trace
+from tracetally.operators import shaping
 from tracetally.plans import reports
 from tracetally.schema import TRACE
 from tracetally.sources.traces import conform, open_trace, save_trace
@@ -24,7 +26,7 @@ def plan_of(df) -> str:
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
-    assert len(QUERIES) == 53
+    assert len(QUERIES) == 56
     assert QUERIES.keys() <= contract.queries().keys()
     assert ORACLES.keys() <= contract.oracle_sql().keys()
 
@@ -42,6 +44,15 @@ def test_query_matches_duckdb(spark, duck, name):
         assert got == want
 
 
+def test_answers_owe_nothing_to_the_library(spark, duck, monkeypatch):
+    assert "tracetally" not in Path(oracles.__file__).read_text()
+    points, ((column, _), *rest) = shaping.SERIES["top_users"]
+    monkeypatch.setitem(shaping.SERIES, "top_users", (points, ((column, "Wrong"), *rest)))
+    got = {row.series for row in QUERIES["top_users_long"](spark, SF_DIR).collect()}
+    want = {row[2] for row in duck.execute(oracles.oracle_sql()["top_users_long"]).fetchall()}
+    assert got - want == {"Wrong"}
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
@@ -88,9 +99,14 @@ def test_additive_totals(trace):
     assert abs(summary.estimated_hours_saved - hours) <= 0.05 * (len(months) + 1)
 
 
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
 @pytest.mark.parametrize("name", QUERIES)
-def test_no_python_cross_join_or_expand_in_any_plan(spark, name):
-    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+def test_no_python_cross_join_or_expand_in_any_plan(spark, name, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for node in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoop", "Expand"):
         assert node not in plan, node
 

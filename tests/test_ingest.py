@@ -41,7 +41,9 @@ def commit_line(path="o/a", run="u1", commit="c1", outcome=S):
 def test_values_land_by_name_whatever_the_column_order(spark, tmp_path):
     write(tmp_path / "1.csv", "path,developer,origin,branch,runId", "o/a,al,gh,main,u1")
     write(tmp_path / "2.csv", "runId,branch,path,origin,developer", "u2,main,o/b,gh,bo")
-    got = read_traces(spark, str(tmp_path)).select("origin", "path", "branch", "developer", "runId")
+    got = read_traces(spark, str(tmp_path), mixed=True).select(
+        "origin", "path", "branch", "developer", "runId"
+    )
     assert sorted(as_tuples(got)) == [
         ("gh", "o/a", "main", "al", "u1"),
         ("gh", "o/b", "main", "bo", "u2"),
@@ -57,8 +59,11 @@ def test_columns_and_types_are_the_documented_ones(spark, tmp_path):
 def test_stages_unite_and_missing_columns_are_null(spark, tmp_path):
     write(tmp_path / "run" / "a.csv", RUN, run_line("o/a", "u1"), run_line("o/b", "u2"))
     write(tmp_path / "deep" / "er" / "b.csv", COMMIT, commit_line("o/c", "u3"))
-    trace = read_traces(spark, str(tmp_path))
-    assert as_tuples(reports.top_users(trace)) == [("al", 3, 1)]
+    for trace in (
+        read_traces(spark, str(tmp_path), mixed=True),
+        read_traces(spark, str(tmp_path / "run"), str(tmp_path / "deep")),
+    ):
+        assert as_tuples(reports.top_users(trace)) == [("al", 3, 1)]
     run_only = read_traces(spark, str(tmp_path / "run"))
     assert as_tuples(reports.top_users(run_only)) == [("al", 2, 0)]
 
@@ -113,7 +118,8 @@ def test_empty_strings_from_other_sources_are_null(spark):
 def test_odd_file_names(spark, tmp_path):
     write(tmp_path / "a b{1}" / "t[1]*?.csv", COMMON, "gh,o/a,main,al")
     write(tmp_path / "100%20.csv", f"{COMMON},runId", "gh,o/b,main,al,u1")
-    assert read_traces(spark, str(tmp_path)).count() == 2
+    assert read_traces(spark, str(tmp_path), mixed=True).count() == 2
+    assert read_traces(spark, *[str(p) for p in tmp_path.iterdir() if p.is_file()]).count() == 1
 
 
 def test_rejects_are_counted_not_fatal(spark, tmp_path):
@@ -143,13 +149,13 @@ def test_a_file_without_header_is_refused(spark, tmp_path):
 def test_a_folder_without_any_header_is_refused(spark, tmp_path):
     write(tmp_path / "x.csv", "#v1", "gh,o/a,main,al")
     with pytest.raises(ValueError, match="no trace header"):
-        read_traces(spark, str(tmp_path), one_header=True)
+        read_traces(spark, str(tmp_path))
 
 
-@pytest.mark.parametrize("one_header", [True, False])
-def test_trailing_comma_spaces_and_quotes_in_the_header(spark, tmp_path, one_header):
+@pytest.mark.parametrize("mixed", [True, False])
+def test_trailing_comma_spaces_and_quotes_in_the_header(spark, tmp_path, mixed):
     write(tmp_path / "t.csv", '"origin", path,branch ,developer,', "gh,o/a,main,al,")
-    row = read_traces(spark, str(tmp_path), one_header=one_header).first()
+    row = read_traces(spark, str(tmp_path), mixed=mixed).first()
     assert (row.origin, row.path, row.branch, row.developer) == ("gh", "o/a", "main", "al")
 
 
@@ -164,7 +170,7 @@ def test_empty_files_are_ignored(spark, tmp_path):
     write(tmp_path / "1.csv", COMMON, "gh,o/a,main,al")
     write(tmp_path / "2.csv", f"{COMMON},runId")
     (tmp_path / "3.csv").write_text("")
-    assert read_traces(spark, str(tmp_path)).count() == 1
+    assert read_traces(spark, str(tmp_path), mixed=True).count() == 1
 
 
 def test_column_twice_is_refused(spark):
@@ -173,12 +179,12 @@ def test_column_twice_is_refused(spark):
         conform(frame)
 
 
-def test_one_header_reads_without_looking_first_but_checks(spark, tmp_path):
+def test_files_of_a_path_must_share_a_header(spark, tmp_path):
     write(tmp_path / "1.csv", COMMON, "gh,o/a,main,al")
-    assert read_traces(spark, str(tmp_path), one_header=True).count() == 1
+    assert read_traces(spark, str(tmp_path)).count() == 1
     write(tmp_path / "2.csv", "path,origin,branch,developer", "o/b,gh,main,al")
     with pytest.raises(Exception, match="(?i)header"):
-        read_raw_traces(spark, str(tmp_path), one_header=True).collect()
+        read_raw_traces(spark, str(tmp_path)).collect()
 
 
 def test_a_large_file_read_in_splits(spark, tmp_path):
@@ -201,7 +207,7 @@ def test_repeated_stages_double_sums_unless_reduced_to_the_deepest(spark, tmp_pa
         tmp_path / "commit.csv", COMMIT,
         commit_line("o/a", "u1", "c1", "Failed"), commit_line("o/a", "u1", "c2"),
     )
-    trace = read_traces(spark, str(tmp_path))
+    trace = read_traces(spark, str(tmp_path), mixed=True)
     assert as_tuples(reports.dashboard_kpis_summary(trace)) == [(2, 1, 1, 1, None, 4.0)]
     reduced = deepest_stage(trace)
     # Both commits of u1 stay, its run-only copy goes, u2 stays.
@@ -211,6 +217,46 @@ def test_repeated_stages_double_sums_unless_reduced_to_the_deepest(spark, tmp_pa
     assert once.count() == 2
 
 
+def test_a_repository_without_a_commit_counts_once(spark, tmp_path):
+    write(tmp_path / "run.csv", RUN, run_line("o/a"), run_line("o/b"))
+    uncommitted = f"{run_line('o/b')},,,"
+    write(tmp_path / "commit.csv", f"{COMMIT},organization",
+          f"{commit_line('o/a')},acme", f"{uncommitted},acme", f"{run_line('o/c', '')},,,,acme",
+          f"{run_line('o/c', '')},,,,acme")
+    trace = read_traces(spark, str(tmp_path / "run.csv"), str(tmp_path / "commit.csv"))
+    reduced = deepest_stage(trace)
+    rows = reduced.select("path", "commitId", "organization").collect()
+    # Rows without a run stay, repeats included.
+    assert sorted(map(tuple, rows), key=repr) == [
+        ("o/a", "c1", "acme"), ("o/b", None, "acme"), ("o/c", None, "acme"), ("o/c", None, "acme"),
+    ]
+    with_run = reduced.where("runId IS NOT NULL")
+    assert as_tuples(reports.dashboard_kpis_summary(with_run))[0][-1] == 2.0
+    assert reduced.schema.names == trace.schema.names
+
+
+def test_each_byte_is_read_once(spark, tmp_path):
+    rows = [f"gh,o/{i},main,dev{i}@example.com" for i in range(100_000)]
+    for name in "abcd":
+        write(tmp_path / "in" / f"{name}.csv", COMMON, *rows)
+    size = sum(file.stat().st_size for file in (tmp_path / "in").iterdir())
+
+    def read() -> int:
+        statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+        return sum(one.getBytesRead() for one in statistics if one.getScheme() == "file")
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1048576")
+    try:
+        before = read()
+        raw = read_raw_traces(spark, str(tmp_path / "in"))
+        assert read() - before < 0.05 * size
+        before = read()
+        raw.write.format("noop").mode("overwrite").save()
+        assert 0.9 * size < read() - before < 1.15 * size
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_table_is_open_to_sql(spark, tmp_path):
     write(tmp_path / "1.csv", COMMIT, commit_line())
     save_table(read_traces(spark, str(tmp_path)), "stored_trace", mode="overwrite")

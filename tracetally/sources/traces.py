@@ -1,8 +1,8 @@
 """Trace CSV files in, typed ``trace`` table out.
 
 Trace files differ in their columns (each stage adds some) and in column order, and Spark applies
-one header to all files of a scan, by position. So files are grouped by header, every group is
-read as text, and the groups meet by column name.
+one header to all files of a scan, by position. So files that share a header are read together, as
+text, and these groups meet by column name.
 """
 
 from __future__ import annotations
@@ -208,22 +208,24 @@ def _read_group(spark: SparkSession, paths: list[str], multi_line: bool) -> Data
 def read_raw_traces(
     spark: SparkSession,
     *paths: str,
-    one_header: bool = False,
+    mixed: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
     """All trace files below ``paths`` as text columns, joined up by name, all lines included.
 
+    The files below one path must share a header, so give a path per stage. It is taken from the
+    first file; the scan checks every file and fails on a different header.
     :data:`MALFORMED` has the text of lines with a wrong number of cells; :func:`sound` drops them.
 
-    ``one_header``  the files are known to share one header: spare the pass that looks for
-                    headers. It is taken from the first of ``paths``; the scan still checks every
-                    file and fails on a different one.
+    ``mixed``       files with different headers lie below the same path: find out which in a pass
+                    of its own, which reads every byte once more. Files that arrive between the
+                    passes are taken only if all headers were the same.
     ``multi_line``  quoted fields may contain line breaks; such files cannot be split over tasks.
     """
-    groups = [list(paths)] if one_header else header_groups(spark, paths)
+    groups = header_groups(spark, paths) if mixed else [[path] for path in paths]
     if not groups:
         raise ValueError(f"no trace files below {', '.join(paths)}")
-    if len(groups) == 1:
+    if mixed and len(groups) == 1:
         groups = [list(paths)]
     return reduce(
         lambda united, scan: united.unionByName(scan, allowMissingColumns=True),
@@ -232,10 +234,10 @@ def read_raw_traces(
 
 
 def read_traces(
-    spark: SparkSession, *paths: str, one_header: bool = False, multi_line: bool = False
+    spark: SparkSession, *paths: str, mixed: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """The typed trace straight from CSV. For more than one report, :func:`ingest` it first."""
-    raw = read_raw_traces(spark, *paths, one_header=one_header, multi_line=multi_line)
+    raw = read_raw_traces(spark, *paths, mixed=mixed, multi_line=multi_line)
     return conform(sound(raw))
 
 
@@ -259,11 +261,13 @@ def ingest(
     *paths: str,
     into: str,
     mode: str = "append",
-    one_header: bool = False,
+    mixed: bool = False,
     multi_line: bool = False,
     malformed: str = "aside",
 ) -> Mapping[str, int]:
-    """CSV files to the Parquet trace at ``into``, parsed once and without a shuffle.
+    """CSV files to the Parquet trace at ``into``, read and parsed once and without a shuffle.
+
+    A path per stage, or ``mixed``; see :func:`read_raw_traces`.
 
     Returns the number of rows, and if there were any, of values that did not parse per column, of
     ``malformed`` lines (more or fewer cells than the header) and of ``repeated_headers``.
@@ -274,7 +278,7 @@ def ingest(
     """
     if malformed not in ("aside", "fail"):
         raise ValueError(f"malformed must be aside or fail, not {malformed!r}")
-    raw = read_raw_traces(spark, *paths, one_header=one_header, multi_line=multi_line)
+    raw = read_raw_traces(spark, *paths, mixed=mixed, multi_line=multi_line)
     if malformed == "fail":
         refused = F.raise_error(F.concat(F.lit("malformed line: "), MALFORMED)).cast("boolean")
         raw = raw.where(F.when(_whole(raw), True).otherwise(refused))
@@ -314,25 +318,63 @@ def _stage_depth() -> Column:
     return depth
 
 
+#: What the rows of one repository in one run share.
+_RUN = ("origin", "path", "branch", "developer", "buildId", "runId")
+
+
+def _stage_position(column: str) -> int:
+    """1 for a column of the sync stage up to 7 for one of push, 0 for a column of no stage."""
+    for position, stage in enumerate(STAGES, 1):
+        if re.match(rf"{stage}[A-Z]", column):
+            return position
+    return 0
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One row of those that agree in all columns of :data:`_RUN` and of the stages they reached.
+
+    The others are columns of later stages and of none; of these, the row with the largest stays.
+    Every value travels once: either in the key or in what is kept of the group.
+    """
+    staged = {name: at for name in rows.columns if name not in _RUN and (at := _stage_position(name))}
+    others = [name for name in rows.columns if name not in _RUN and name not in staged]
+    rows = rows.withColumn("_depth", _stage_depth())
+    reached = {name: F.when(F.col("_depth") >= at, F.col(name)) for name, at in staged.items()}
+    later = [F.when(F.col("_depth") < at, F.col(name)).alias(name) for name, at in staged.items()]
+    kept = rows.groupBy(*_RUN, *[value.alias(name) for name, value in reached.items()]).agg(
+        F.max(F.struct(*later, *others)).alias("_rest")
+    )
+    return kept.select(
+        *_RUN,
+        *[F.coalesce(F.col(name), F.col(f"_rest.{name}")).alias(name) for name in staged],
+        *[F.col(f"_rest.{name}").alias(name) for name in others],
+    )
+
+
 def deepest_stage(trace: DataFrame) -> DataFrame:
     """Drops rows of a run that a later stage's trace repeats. Optional; reports do not call it.
 
     A later command repeats all earlier stages, so loading the run files and the commit files of
     the same work counts its rows and sums twice (distinct counts are immune). Of the rows with
-    the same repository, branch, developer, build and run, those of the deepest stage stay, all of
-    them. Rows without a run stay too.
+    the same repository, branch, developer, build and run, those of the deepest stage stay, and of
+    these, one of each that agree in all columns of the stages they reached: a repository that got
+    equally far in both files counts once, several commits of one run all stay. Rows without a run
+    stay as they are and take part in no shuffle.
 
-    Only runs seen at several depths are matched, and they come from an aggregate that collapses
-    copies before its shuffle, so a run with many copies swells no group.
+    Only runs seen at several depths are matched, and both aggregates collapse copies before their
+    shuffle, so a run with many copies swells no group.
     """
-    run = ["origin", "path", "branch", "developer", "buildId", "runId"]
+    with_run = trace.where(F.col("runId").isNotNull())
     depths = (
-        trace.where(F.col("runId").isNotNull())
-        .groupBy(*run)
+        with_run.groupBy(*_RUN)
         .agg(F.min(_stage_depth()).alias("_least"), F.max(_stage_depth()).alias("_deepest"))
         .where("_least < _deepest")
-        .select(*[F.col(name).alias(f"_{name}") for name in run], "_deepest")
+        .select(*[F.col(name).alias(f"_{name}") for name in _RUN], "_deepest")
+    )
+    same_run = reduce(
+        and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in _RUN if name != "runId"]
     )
-    same_run = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in run])
+    same_run &= F.col("runId") == F.col("_runId")
     repeated = same_run & (_stage_depth() < F.col("_deepest"))
-    return trace.join(depths, repeated, "left_anti")
+    latest = _once(with_run.join(depths, repeated, "left_anti"))
+    return trace.where(F.col("runId").isNull()).unionByName(latest)
