@@ -101,6 +101,28 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM urls LEFT JOIN fitting USING (page_id)
 """
 
+_OP6 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, w[pos + 1 : pos + 5] AS shingle
+  FROM (SELECT *, unnest(range(greatest(1, len(w) - 4))) AS pos FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(m.n) + any_value(n.n) - count(*))
+), reach AS (
+  SELECT doc_id AS root, doc_id AS node FROM documents
+  UNION SELECT root, v FROM reach JOIN links ON node = u
+), classes AS (SELECT root AS doc_id, min(node) AS component_id FROM reach GROUP BY root)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+  doc_id = component_id AS kept
+FROM classes LEFT JOIN sizes USING (doc_id)
+"""
+
 _OP8 = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -165,6 +187,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_decontamination": _OP1,
         "op3_secrets": _OP3,
         "op5_urls": _OP5,
+        "op6_neardup": _OP6,
         "op8_rules": _OP8,
         "op10_warc": _OP10,
     }
