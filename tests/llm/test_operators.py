@@ -241,6 +241,25 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_repairs_what_long_documents_leave(spark, monkeypatch):
+    sizes = [400, 3000] + [20] * 60
+    rows = [(at, source, "w " * n) for source in "ab" for at, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    # Columns called like those that are used inside, which come back as they are.
+    clashing = docs.selectExpr("*", "7 AS mean", "8 AS multiplier", "9 AS _gap", "10 AS _extra")
+
+    def off():
+        got = mixing.mix(clashing, weights=(1, 2), share=1.2).toPandas()
+        assert set(zip(got["mean"], got.multiplier, got._gap, got._extra)) == {(7, 8, 9, 10)}
+        assert got.taken.le(2 * got["size"]).all()
+        per = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "max"))
+        return (per.taken - per.target).abs()
+
+    repaired = off()
+    monkeypatch.setattr(mixing, "REPAIRS", 0)
+    assert (repaired <= off()).all()
+
+
 def test_mixing_of_one_source_without_words(spark):
     docs = spark.createDataFrame([(1, "a", None), (None, "a", "")], "doc_id long, source string, text string")
     same(mixing.mix(docs).select("size", "taken", "target").collect(), [(0, 0, 0.0)] * 2)

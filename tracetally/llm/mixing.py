@@ -28,6 +28,8 @@ TOLERANCE = 1e-7
 MOST_STEPS = 60
 #: Resolution of the rounding threshold.
 BINS = 8192
+#: Times that what rounding leaves of a source's target goes to documents that are no longer.
+REPAIRS = 4
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -152,7 +154,8 @@ def _bin(rate: Column, key: Column) -> Column:
 
 
 def _with_thresholds(slim: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
-    """``plan`` with the bin from which a source's documents get one copy more."""
+    """``plan`` with the bin from which a source's documents get one copy more, and the ``_gap``
+    that this leaves to the target."""
     rate = _document_rate(cap)
     bins = (
         slim.join(plan, F.col("source").eqNullSafe(F.col("_source")))
@@ -175,22 +178,91 @@ def _with_thresholds(slim: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
             plan.select(F.col("_source").alias("_from"), F.col("target").alias("_aim")),
             F.col("_of").eqNullSafe(F.col("_from")),
         )
-        .withColumn("_off", F.abs(F.col("_sure") + F.col("_above") - F.col("_aim")))
+        .withColumn("_gap", F.col("_aim") - F.col("_sure") - F.col("_above"))
+        .withColumn("_off", F.abs("_gap"))
         .groupBy("_of")
         .agg(
-            F.min(F.when(F.col("_bin") >= 0, F.struct("_off", "_bin"))).alias("_best"),
-            F.min(F.abs(F.col("_sure") - F.col("_aim"))).alias("_none"),
+            F.min(F.when(F.col("_bin") >= 0, F.struct("_off", "_bin", "_gap"))).alias("_best"),
+            F.min(F.col("_aim") - F.col("_sure")).alias("_none"),
         )
+        .withColumn("_better", F.coalesce(F.col("_best._off") < F.abs("_none"), F.lit(False)))
         .select(
             "_of",
-            F.when(F.col("_best._off") < F.col("_none"), F.col("_best._bin"))
-            .otherwise(BINS)
-            .alias("_threshold"),
+            F.when(F.col("_better"), F.col("_best._bin")).otherwise(BINS).alias("_threshold"),
+            F.when(F.col("_better"), F.col("_best._gap")).otherwise(F.col("_none")).alias("_gap"),
         )
     )
     return plan.join(best, F.col("_source").eqNullSafe(F.col("_of")), "left").drop("_of")
 
 
+def _turn(key: Column, repair: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(repair)), F.lit(BINS)).cast("int")
+
+
+def _with_extra(rows: DataFrame, key: str, cap: float, repairs: int) -> DataFrame:
+    """``rows`` with ``_extra``, 1 for a copy beyond the whole part of the rate, else 0."""
+    rate = _document_rate(cap)
+    extra = F.when(_bin(rate, F.col(key)) >= F.col("_threshold"), 1).otherwise(0)
+    steps = [
+        F.struct(
+            F.col(f"_from{at}").alias("held"),
+            F.col("size").between(1, F.col(f"_limit{at}")).alias("short"),
+            (_turn(F.col(key), at) < F.col(f"_below{at}")).alias("chosen"),
+        )
+        for at in range(repairs)
+    ]
+    if steps:
+        # A fold: the steps written into each other would grow threefold with each.
+        extra = F.aggregate(
+            F.array(*steps),
+            extra,
+            lambda now, step: F.when(
+                step["short"] & step["chosen"] & (step["held"] == now), 1 - now
+            ).otherwise(now),
+        )
+    return rows.withColumn("_extra", F.when(rate > F.floor(rate), extra).otherwise(0))
+
+
+def _repaired(slim: DataFrame, plan: DataFrame, cap: float, repair: int) -> DataFrame:
+    """``plan`` with one repair more, and the ``_gap`` that remains.
+
+    Where one long document decides, a source of few documents stays far from its target. The
+    choice is then turned for short ones, in an order by hash, as long as that comes nearer; what
+    remains is at most half of one of them, if there are enough.
+    """
+    plan = plan.withColumn(f"_limit{repair}", F.floor(F.abs("_gap"))).withColumn(
+        f"_from{repair}", F.when(F.col("_gap") > 0, 0).otherwise(1)
+    )
+    rows = slim.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    rate = _document_rate(cap)
+    bins = (
+        _with_extra(rows, "_key", cap, repair)
+        .where(F.col("size").between(1, F.col(f"_limit{repair}")) & (rate > F.floor(rate)))
+        .where(F.col("_extra") == F.col(f"_from{repair}"))
+        .groupBy(
+            F.col("_source").alias("_of"),
+            F.abs("_gap").alias("_left"),
+            _turn(F.col("_key"), repair).alias("_bin"),
+        )
+        .agg(F.sum("size").alias("_more"))
+    )
+    so_far = F.sum("_more").over(Window.partitionBy("_of").orderBy("_bin"))
+    best = (
+        bins.withColumn("_sum", so_far)
+        .withColumn("_off", F.abs(F.col("_left") - F.col("_sum")))
+        .where("_off < _left")
+        .groupBy("_of")
+        .agg(F.min(F.struct("_off", "_bin", "_sum")).alias("_best"))
+    )
+    names = [name for name in plan.columns if name != "_gap"]
+    moved = F.signum("_gap") * F.coalesce("_best._sum", F.lit(0))
+    return plan.join(best, F.col("_source").eqNullSafe(F.col("_of")), "left").select(
+        *names,
+        (F.col("_gap") - moved).alias("_gap"),
+        F.coalesce(F.col("_best._bin") + 1, F.lit(0)).alias(f"_below{repair}"),
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -203,9 +275,10 @@ def mix(
 
     Rounding: a document gets one more than the whole part of its rate if the rest plus a hash of
     its key reaches a threshold. The threshold is its source's own, set from a histogram of those
-    sums so that the source comes as close to its target as whole documents allow.
+    sums so that the source comes as close to its target as whole documents in that order allow;
+    short documents then make up for what is left, REPAIRS times.
 
-    Only (source, size) counts, the histogram and one row per source are shuffled; documents stay
+    Only (source, size) counts, histograms and one row per source are shuffled; documents stay
     where they are while the table of sources is under Spark's broadcast threshold, and beyond it
     Spark splits a hot source at run time.
     """
@@ -224,14 +297,20 @@ def mix(
         )
     )
     plan = stored(_with_thresholds(slim, plan, cap))
-    rows = docs.withColumn("size", size).join(
-        plan, F.col("source").eqNullSafe(F.col("_source")), "left"
-    )
+    for repair in range(REPAIRS):
+        plan = stored(_repaired(slim, plan, cap, repair))
+    # Under names of their own, the columns of docs can't clash with those of the plan.
+    held = [f"_held{at}" for at in range(len(docs.columns))]
+    rows = docs.select(
+        F.col("source"),
+        F.col(key).alias("_key"),
+        size.alias("size"),
+        *[F.col(f"`{name}`").alias(at) for name, at in zip(docs.columns, held)],
+    ).join(plan, F.col("source").eqNullSafe(F.col("_source")), "left")
     rate = _document_rate(cap)
-    extra = _bin(rate, F.col(key)) >= F.col("_threshold")
-    copies = (F.floor(rate) + F.when(extra, 1).otherwise(0)).cast("int")
-    return rows.select(
-        *docs.columns,
+    copies = (F.floor(rate) + F.col("_extra")).cast("int")
+    return _with_extra(rows, "_key", cap, REPAIRS).select(
+        *[F.col(at).alias(name) for name, at in zip(docs.columns, held)],
         "size",
         "source_size",
         "target",
