@@ -207,6 +207,58 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_near_duplicates_of_repeated_rows(spark, monkeypatch):
+    """The hub's row ten times, members' rows up to four times, in a group above LARGE."""
+    monkeypatch.setattr(neardup, "LARGE", 8)
+    rnd = random.Random(8)
+    base = [f"w{at}" for at in range(1000)]
+    found = [base]
+    for pair in range(40):
+        # Two edits in common; with four of its own one text is no link of the hub.
+        places = rnd.sample(range(5, 995, 6), 7)
+        for own in (places[2:6], places[6:]):
+            found.append(list(base))
+            for at in places[:2]:
+                found[-1][at] = f"p{pair}"
+            for at in own:
+                found[-1][at] = f"t{len(found)}"
+    rows = [(at, " ".join(edited)) for at, edited in enumerate(found)]
+    want = brute.near(rows, 95)
+    assert {row[2] for row in want} == {0}
+    again = rows + rows[:1] * 9 + [row for row in rows[1:] for _ in range(row[0] % 4)]
+    got = neardup.near_duplicates(spark.createDataFrame(again, DOCS), percent=95).collect()
+    same({tuple(row) for row in got}, want)
+    assert len(got) == len(again)
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LARGE", 4)
+    rnd = random.Random(9)
+    words, rows = [f"w{at}" for at in range(900)], []
+    for group in range(2):
+        base = rnd.choices(words, k=120)
+        for _ in range(30):
+            edited = list(base)
+            for at in rnd.sample(range(120), rnd.randint(0, 4)):
+                edited[at] = rnd.choice(words)
+            rows.append((group * 1000 + len(rows), " ".join(edited)))
+    alone = [" ".join(rnd.choices(words, k=100)) for _ in range(2)]
+    # Id 0 also has a text of the other group, and two that are like no other.
+    rows += [(0, rows[30][1] + " x"), (0, alone[0]), (0, alone[1]), (5000, alone[1] + " y")]
+    numbered = [(at, text) for at, (_, text) in enumerate(rows)]
+    parent = {doc: doc for doc, _ in rows}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for at, _, group, _ in brute.near(numbered, 85):
+        a, b = root(rows[at][0]), root(rows[group][0])
+        parent[max(a, b)] = min(a, b)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {(doc, root(doc)) for doc, _ in rows}
+
+
 def test_components(spark):
     edges = [(at, at + 1) for at in range(100, 140)] + [(7, 5), (5, 7), (5, 5), (9, 9), (6, 7)]
     got = dict(components.components(spark.createDataFrame(edges, "u long, v long")).collect())

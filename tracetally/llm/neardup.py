@@ -106,7 +106,8 @@ def signature(hashes: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> n
 
 
 def sketches(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """``id``, ``n`` (set size), ``set`` (128-bit hash), ``sig``, ``bands`` of every text."""
+    """``id``, ``hash`` (64 bits, of the text), ``n`` (set size), ``set`` (128-bit hash), ``sig``,
+    ``bands`` of every text."""
     wide = band_rows(percent)
     bands = HASHES // wide
 
@@ -114,7 +115,7 @@ def sketches(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
         factors, offsets = _permutations()
         for batch in batches:
             sizes, sets, signatures, keys = [], [], [], []
-            for value in batch.column(1):
+            for value in batch.column(2):
                 hashes = shingles(value.as_py())
                 sizes.append(len(hashes))
                 if not len(hashes):
@@ -129,17 +130,18 @@ def sketches(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(sizes, pa.int64()),
                     pa.array(sets, pa.binary()),
                     pa.array(signatures, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["id", "n", "set", "sig", "bands"],
+                ["id", "hash", "n", "set", "sig", "bands"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key), F.col(text)).mapInArrow(
-        sketch, f"id {kind}, n bigint, set binary, sig binary, bands array<bigint>"
+    return docs.select(F.col(key), F.xxhash64(text), F.col(text)).mapInArrow(
+        sketch, f"id {kind}, hash bigint, n bigint, set binary, sig binary, bands array<bigint>"
     )
 
 
@@ -206,26 +208,34 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """``id`` and ``hashes`` (the set) of the classes in ``wanted`` (``id``, ``set``)."""
+    """``id`` and ``hashes`` (the set), one row of each class in ``wanted`` (``id``, ``rep``,
+    ``hash``, ``set``), stored."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 found = shingles(batch.column(1)[at].as_py()).tobytes()
-                # Where an id has several texts, the one that stands for its class.
+                # Different texts of one document can only meet here if their hashes collide.
                 if xxhash.xxh3_128_digest(found) == batch.column(2)[at].as_py():
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(at, 1), pa.array([found], pa.binary())],
                         ["id", "hashes"],
                     )
 
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-        .join(wanted.select("id", "set").hint("shuffle_hash"), "id")
+    found = stored(
+        docs.select(F.col(key).alias("rep"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+        .join(wanted.select("id", "rep", "hash", "set").hint("shuffle_hash"), ["rep", "hash"])
         .select("id", "text", "set")
-        .mapInArrow(sets, f"id {kind}, hashes binary")
+        .mapInArrow(sets, "id bigint, hashes binary")
+        .withColumn("row", F.monotonically_increasing_id())
     )
+    # Rows that repeat id and text are all found; as one set each they'd multiply every join.
+    one = stored(found.groupBy("id").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("rows")))
+    if one.where("rows > 1").isEmpty():
+        return found.drop("row")
+    again = found.select("id", "row").join(one.where("rows > 1").select("id", F.col("row").alias("_one")), "id")
+    again = stored(again.where("row <> _one").select("row"))
+    return stored(found.join(again, "row", "left_anti").drop("row"))
 
 
 def _with(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -236,15 +246,25 @@ def _with(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """Links (``u``, ``v``) between classes, named by their smallest id, that connect all groups."""
+    """Links (``u``, ``v``) between classes, named by their smallest id, that connect all groups.
+
+    In here ``id`` numbers the classes, so that several texts of one document stay apart.
+    """
     ranked = sketched.where("n > 0 AND id IS NOT NULL")
     classes = stored(
-        ranked.groupBy("set").agg(
-            F.min("id").alias("id"),
+        ranked.groupBy("set")
+        .agg(
+            F.min(F.struct("id", "hash")).alias("least"),
             F.first("n").alias("n"),
             F.first("sig").alias("sig"),
             F.first("bands").alias("bands"),
         )
+        .select(
+            F.monotonically_increasing_id().alias("id"),
+            F.col("least.id").alias("rep"),
+            F.col("least.hash").alias("hash"),
+            *("set", "n", "sig", "bands"),
+        )
     )
     banded = classes.select("id", "n", F.posexplode("bands").alias("band", "value"))
     sizes = stored(
@@ -252,9 +272,11 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
     )
     members = stored(banded.join(sizes, ["band", "value"]))
     ids = stored(
-        members.groupBy("id").agg(F.sum("members").alias("crowd")).join(classes.select("id", "set"), "id")
+        members.groupBy("id")
+        .agg(F.sum("members").alias("crowd"))
+        .join(classes.select("id", "rep", "hash", "set"), "id")
     )
-    sets = stored(_sets(docs, ids, key, text))
+    sets = _sets(docs, ids, key, text)
     hubs = stored(
         members.join(ids.select("id", "crowd"), "id")
         .groupBy("band", "value")
@@ -318,7 +340,11 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
         .distinct()
     )
     second = verified(stored(pruned(_with(crossed, classes), percent)), sets, percent)
-    return first.union(second).union(_through_hubs(main, sets, percent))
+    found = first.union(second).union(_through_hubs(main, sets, percent))
+    names = classes.select("id", "rep")
+    u = names.select(F.col("id").alias("u"), F.col("rep").alias("_u"))
+    v = names.select(F.col("id").alias("v"), F.col("rep").alias("_v"))
+    return found.join(u, "u").join(v, "v").select(F.col("_u").alias("u"), F.col("_v").alias("v"))
 
 
 def _main_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
