@@ -1,8 +1,8 @@
 """Training corpus: quality, near duplicates, decontamination, mixing, shards.
 
 Each stage takes what its predecessor kept, written as Parquet and read again, and returns rows
-with the columns of documents; the last one adds ``shard`` and ``slot``. Rows without an id are
-kept by every filter, as they can't be told apart; rows that repeat an id share its fate.
+with the columns of documents; the last one adds ``shard`` and ``slot``. Filters decide row by row,
+on a row's own text, whether or not its id is NULL or repeats.
 """
 
 from __future__ import annotations
@@ -20,11 +20,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _except(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without those in ``ids``; stored, so that Spark knows their size for the join."""
-    return docs.join(stored(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(
-        *docs.columns
-    )
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a different number for every row, the same whenever it is read.
+
+    Rows of Parquet files are numbered by file and place; any other table is stored first.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.children().nonEmpty() or plan.metadataOutput().isEmpty():
+        docs = stored(docs)
+    places = docs.select("*", "_metadata.file_path", "_metadata.row_index")
+    # One task, over the names of the files only.
+    files = places.select("file_path").distinct().coalesce(1)
+    files = stored(files.withColumn("_file", F.monotonically_increasing_id()))
+    row = F.shiftleft("_file", 40) + F.col("row_index")
+    return places.join(F.broadcast(files), "file_path").select(*docs.columns, row.alias("_row"))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +43,28 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
-    found = neardup.near_duplicates(docs, percent=80)
-    return _except(docs, found.where("NOT kept"))
+    """One row, that with the smallest id, of each group of near duplicates. Rows that repeat an id
+    are told apart by their place; rows without an id come last."""
+    rows = _numbered(docs)
+    found = neardup.near_duplicates(rows, key="_row", percent=80)
+    groups = stored(found.select("_row", F.col("component_id").alias("_group")))
+    ids = rows.select("_row", "doc_id")
+    # Rows that are alone are in no group, and most are.
+    several = stored(groups.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    members = stored(groups.join(several, "_group").select("_row", "_group").join(ids, "_row"))
+    first = members.groupBy("_group").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")
+    )
+    others = stored(members.select("_row").join(first.select("_row"), "_row", "left_anti"))
+    return rows.join(others, "_row", "left_anti").select(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a run of ten words, or a whole shorter item, of the benchmark."""
-    found = phrases.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    return _except(docs, found.where("contaminated"))
+    """Rows without a run of ten words, or a whole shorter item, of the benchmark."""
+    rows = _numbered(docs)
+    found = phrases.decontaminate(rows, _table(spark, sf_dir, "benchmark"), key="_row")
+    dirty = stored(found.where("contaminated").select("_row"))
+    return rows.join(dirty, "_row", "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,3 +82,20 @@ def test_pipeline_stages_take_empty_tables_and_nulls(spark):
         rows = stored(rows)
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, rows, SF_DIR).count() >= 0
+
+
+def test_pipeline_filters_decide_row_by_row(spark, tables):
+    item = tables.execute("SELECT text FROM benchmark ORDER BY length(text) DESC").fetchone()[0]
+    prose = [" ".join(f"{name}{at}" for at in range(40)) for name in "abc"]
+    rows = [(None, prose[0]), (None, prose[0]), (7, prose[0]), (7, prose[0]), (7, prose[1])]
+    rows += [(8, prose[1]), (9, prose[1] + " z"), (None, prose[2]), (None, prose[2]), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for table in (docs, stored(docs.repartition(3))):
+        got = corpus_pipeline.one_of_each(spark, table, SF_DIR).collect()
+        want = [(7, prose[0]), (7, prose[1]), (None, prose[2]), (10, None)]
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    rows = [(None, item), (None, prose[0]), (7, item), (7, prose[0]), (7, prose[0]), (8, None)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = corpus_pipeline.uncontaminated(spark, docs, SF_DIR).collect()
+    want = [row for row in rows if row[1] != item]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
