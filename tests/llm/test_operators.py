@@ -417,3 +417,24 @@ def test_classifier_where_labels_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(quality, "BROADCAST_LABELS", 0)
     got = quality.classify(docs, known).toPandas().set_index("doc_id").score
     assert np.allclose(got.sort_index(), expected.sort_index())
+
+
+def test_classifier_tells_very_long_texts_apart(spark):
+    rnd = random.Random(12)
+    kinds = [[f"{kind}{at}" for at in range(3000)] for kind in ("good", "Bad#")]
+    shared = [f"w{at}" for at in range(3000)]
+
+    def text(kind, n):
+        return " ".join(rnd.choices(kinds[kind] + shared, k=n))
+
+    rows = [(at, text(at % 2, 300)) for at in range(400)]
+    rows += [(1000 + kind, text(kind, 500_000)) for kind in (0, 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = [(at, 1 - at % 2) for at in range(400)]
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = quality.classify(docs, known).toPandas().set_index("doc_id").score
+    assert got[1000] > 0.9 and got[1001] < 0.1
+    features, shares = quality.ngrams(rows[-1][1])
+    # As one set the text holds nearly all numbers; its windows don't.
+    assert len(features) > 0.9 * quality.FEATURES and shares.mean() < 0.4
+    assert (quality.ngrams("a b a b")[1] == 1).all()

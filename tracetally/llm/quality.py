@@ -2,7 +2,9 @@
 
 1. Each text becomes the set of its n-grams, hashed to FEATURES numbers: words and pairs of words,
    word shapes (letter case, digits and punctuation, runs shortened) and pairs of shapes, and two
-   marks: a word that repeats the one before, a line that repeats the one before.
+   marks: a word that repeats the one before, a line that repeats the one before. A text longer
+   than WINDOW is cut into equal windows, and each number counts by the share of windows that have
+   it: one set of a text of some MB would hold nearly all numbers, whatever the text says.
 2. Over all labelled rows, the log ratio of each n-gram's smoothed frequency between the classes.
 3. On a bounded sample of the labelled rows (``most`` per class, those with the smallest hash of
    their id), a linear hinge-loss model on the indicators times their ratios, fitted by dual
@@ -39,8 +41,11 @@ FEATURES = 1 << 16
 SAMPLE = 4000
 #: Labels are broadcast up to this many (some 50 bytes each), beyond that texts are shuffled.
 BROADCAST_LABELS = 1_000_000
-#: Bytes of a text that are looked at in one piece; n-grams across a cut are kept.
-PIECE = 1 << 22
+#: Bytes of a text whose n-grams make one set, at most; pairs across a cut are kept. Words and their
+#: pairs, some 11,000 of each, set less than a third of the FEATURES numbers.
+WINDOW = 1 << 16
+#: Shares are multiples of this, so that their sums are exact in any order.
+SHARE = 2.0**-20
 #: Rows whose features leave a task together.
 ROWS = 1000
 EPOCHS, COST, SMOOTHING = 20, 1.0, 1.0
@@ -60,13 +65,15 @@ class Model(NamedTuple):
     slope: float
     shift: float
 
-    def scores(self, features: list[np.ndarray]) -> np.ndarray:
-        margins = np.array([_margin(f, self.weights, self.constant) for f in features])
+    def scores(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        margins = np.array([_margin(*g, self.weights, self.constant) for g in grams])
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
-def _margin(features: np.ndarray, weights: np.ndarray, constant: float) -> float:
-    return float(weights[features].sum() / math.sqrt(len(features) + 1) + constant)
+def _margin(
+    features: np.ndarray, shares: np.ndarray, weights: np.ndarray, constant: float
+) -> float:
+    return float((weights[features] * shares).sum() / math.sqrt(shares.sum(dtype=float) + 1) + constant)
 
 
 def _grams(words: list[bytes], salt: int) -> np.ndarray:
@@ -77,18 +84,30 @@ def _grams(words: list[bytes], salt: int) -> np.ndarray:
     return (both >> np.uint64(48)).astype(np.uint16)
 
 
-def ngrams(text: str | None) -> np.ndarray:
-    """The sorted different features of a text, in time and memory linear in its length."""
+def _windows(whole: bytes) -> Iterator[bytes]:
+    """The text in equal parts of at most WINDOW bytes, cut after white space where there is some."""
+    parts = -(-len(whole) // WINDOW)
+    start = 0
+    for part in range(1, parts + 1):
+        stop = len(whole) * part // parts
+        if part < parts:
+            cut = max(whole.rfind(b" ", start, stop), whole.rfind(b"\n", start, stop)) + 1
+            stop = cut or stop
+        yield whole[start:stop]
+        start = stop
+
+
+def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different features of a text and the share of its windows that have each, in time
+    linear in its length."""
     whole = (text or "").encode()
-    found, tail, line = [], [], None
-    for start in range(0, len(whole), PIECE):
-        piece = whole[start : start + PIECE]
+    seen = np.zeros(FEATURES if len(whole) > WINDOW else 0, np.int64)
+    found, tail, line, parts = np.empty(0, np.uint16), [], None, 0
+    for piece in _windows(whole):
         # A word cut in two by a piece's end is two words; the pair across it is kept.
         words = tail + piece.split()
         shape = np.frombuffer(piece.translate(_SHAPE), np.uint8)
         shape = shape[np.concatenate([[True], shape[1:] != shape[:-1]])]
-        found.append(_grams(words, 0x51ED270B))
-        found.append(_grams(shape.tobytes().split(), 0x2545F491))
         marks = []
         if any(a == b for a, b in zip(words, words[1:])):
             marks.append(0)
@@ -97,9 +116,16 @@ def ngrams(text: str | None) -> np.ndarray:
                 marks.append(1)
                 break
             line = now or line
-        found.append(np.array(marks, np.uint16))
+        grams = _grams(words, 0x51ED270B), _grams(shape.tobytes().split(), 0x2545F491)
+        found = np.unique(np.concatenate([*grams, np.array(marks, np.uint16)]))
+        if len(seen):
+            seen[found] += 1
         tail = words[-1:]
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint16)
+        parts += 1
+    if parts < 2:
+        return found, np.ones(len(found), np.float32)
+    found = np.flatnonzero(seen).astype(np.uint16)
+    return found, (np.maximum(np.rint(seen[found] / parts / SHARE), 1) * SHARE).astype(np.float32)
 
 
 def held_out(key: Column) -> Column:
@@ -108,14 +134,24 @@ def held_out(key: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """``id``, ``label`` and ``features`` of the labelled rows that may teach, stored."""
+    """``id``, ``label``, ``features`` and ``shares`` of the labelled rows that may teach, stored.
+
+    ``shares`` are empty where all are 1, as in a text of one window.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
-            features = [ngrams(value.as_py()).astype(np.int32) for value in batch.column(2)]
+            grams = [ngrams(value.as_py()) for value in batch.column(2)]
+            features = [f.astype(np.int32) for f, _ in grams]
+            shares = [s if (s < 1).any() else [] for _, s in grams]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(features, pa.list_(pa.int32()))],
-                ["id", "label", "features"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(features, pa.list_(pa.int32())),
+                    pa.array(shares, pa.list_(pa.float32())),
+                ],
+                ["id", "label", "features", "shares"],
             )
 
     known = (
@@ -128,7 +164,7 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     kind = docs.schema[key].dataType.simpleString()
     return stored(
         rows.select("id", "label", "text").mapInArrow(
-            extract, f"id {kind}, label int, features array<int>"
+            extract, f"id {kind}, label int, features array<int>, shares array<float>"
         )
     )
 
@@ -141,10 +177,16 @@ def ratios(rows: DataFrame) -> tuple[np.ndarray, list[int]]:
     seen = dict(rows.groupBy("label").count().collect())
     totals = [seen.get(0, 0), seen.get(1, 0)]
     counts = np.full((2, FEATURES), SMOOTHING)
+    whole = rows.where(F.size("shares") == 0).select(
+        "label", F.explode("features").alias("feature"), F.lit(1.0).alias("share")
+    )
+    parts = rows.where(F.size("shares") > 0).select(
+        "label", F.inline(F.arrays_zip(F.col("features"), F.col("shares").alias("share")))
+    )
     for feature, label, count in (
-        rows.select("label", F.explode("features").alias("feature"))
+        whole.union(parts.toDF("label", "feature", "share"))
         .groupBy("feature", "label")
-        .count()
+        .agg(F.sum(F.col("share").cast("double")).alias("count"))
         .select("feature", "label", "count")
         .toLocalIterator()
     ):
@@ -154,14 +196,15 @@ def ratios(rows: DataFrame) -> tuple[np.ndarray, list[int]]:
 
 
 def dual_coordinate_descent(
-    rows: list[np.ndarray], signs: np.ndarray, ratio: np.ndarray
+    grams: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, ratio: np.ndarray
 ) -> tuple[np.ndarray, float]:
     """Weights (times ratio) and constant that minimise the hinge loss with L2 regularisation.
 
     Rows are scaled to comparable length; one dual variable at a time moves to its optimum
     between 0 and COST, in a new random order each epoch.
     """
-    values = [ratio[row] / math.sqrt(len(row) + 1) for row in rows]
+    rows = [row for row, _ in grams]
+    values = [ratio[row] * shares / math.sqrt(shares.sum(dtype=float) + 1) for row, shares in grams]
     norms = np.array([float(v @ v) + 1 for v in values])
     dual = np.zeros(len(rows))
     weights, constant = np.zeros(FEATURES), 0.0
@@ -203,7 +246,7 @@ def logistic_curve(margins: np.ndarray, truth: np.ndarray, weight: np.ndarray) -
 
 
 def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
-    """The model from labelled ``rows`` (``id``, ``label``, ``features``).
+    """The model from labelled ``rows`` (``id``, ``label``, ``features``, ``shares``).
 
     The fit is one task over at most ``2 * most`` rows; its result is one row of FEATURES weights.
     """
@@ -217,7 +260,11 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
         grams, classes = [], []
         for batch in batches:
             classes += batch.column(0).to_pylist()
-            grams += [np.asarray(v.values, np.int32) for v in batch.column(1)]
+            for features, shares in zip(batch.column(1), batch.column(2)):
+                features = np.asarray(features.values, np.int32)
+                # A view of one 1 where all are: no second array for each row.
+                ones = np.broadcast_to(np.float32(1), len(features))
+                grams.append((features, np.asarray(shares.values, np.float32) if len(shares) else ones))
         classes = np.array(classes)
         checked = np.arange(len(classes)) % 4 == 3
         fitted = np.flatnonzero(~checked)
@@ -225,7 +272,7 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
             [grams[at] for at in fitted], 2.0 * classes[fitted] - 1, ratio
         )
         rest = np.flatnonzero(checked)
-        margins = np.array([_margin(grams[at], weights, constant) for at in rest])
+        margins = np.array([_margin(*grams[at], weights, constant) for at in rest])
         truth = classes[rest].astype(float)
         here = np.array([(truth == c).sum() for c in (0, 1)])
         weight = np.array(totals) / max(sum(totals), 1) / np.maximum(here / len(rest), 1e-9)
@@ -245,7 +292,7 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
     ]
     # Sorted by a hash over both classes, so that each fourth row is a fair quarter of each.
     sample = chosen[0].union(chosen[1]).coalesce(1).sortWithinPartitions(order, "id")
-    model = sample.select("label", "features").mapInArrow(
+    model = sample.select("label", "features", "shares").mapInArrow(
         train, "weights array<double>, rest array<double>"
     ).first()
     return Model(np.array(model.weights), *model.rest)
