@@ -6,6 +6,9 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import xxhash
+
 WHITE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
@@ -174,3 +177,84 @@ def archived(pages):
         revisit = len(body) >= 1000 and page != last[body]
         digest = hashlib.sha1(body).hexdigest()
         yield page, len(body), digest, "revisit" if revisit else "response", last[body] if revisit else None
+
+
+def collocations(rows, least=10, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for size in (1, 2, 3):
+                f[lang].update(" ".join(words[at : at + size]) for at in range(len(words) - size + 1))
+    for lang, counts in f.items():
+        found = []
+        for phrase, a in counts.items():
+            words = phrase.split(" ")
+            if len(words) < 2 or a < least:
+                continue
+            if len(words) == 2 and any(
+                100 * b >= 50 * a and b >= least and " " + phrase + " " in " " + longer + " "
+                for longer, b in counts.items()
+                if b >= least and longer.count(" ") == 2
+            ):
+                continue
+            score, _, left, right = min(
+                (1_000_000 * a * a // (counts[" ".join(words[:k])] * counts[" ".join(words[k:])]), k,
+                 counts[" ".join(words[:k])], counts[" ".join(words[k:])])
+                for k in range(1, len(words))
+            )
+            found.append((-score, -a, phrase.encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            yield lang, rank, phrase.decode(), -a, left, right, n[lang], -score
+
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def middle(doc, text):
+    """(n, form, prefix, middle, output) of a row."""
+    text = text or ""
+    digest = sha(f"42:{'' if doc is None else doc}")
+    h = [int(digest[8 * at : 8 * at + 8], 16) for at in range(4)]
+    units = UNIT.findall(text)
+    n = len(units)
+    low, high = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, mid, suffix = ("".join(part) for part in (units[:low], units[low:high], units[high:]))
+    if not text or any(mark in text for mark in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return n, "plain", None, None, text
+    if h[3] % 100 < 80:
+        return n, "spm", len(prefix), len(mid), f"<S>{suffix}<P>{prefix}<M>{mid}"
+    return n, "psm", len(prefix), len(mid), f"<P>{prefix}<S>{suffix}<M>{mid}"
+
+
+def simhash(text):
+    words = WHITE_WORD.findall((text or "").translate(LOWER))
+    shingles = [" ".join(words[at : at + 3]) for at in range(max(1, len(words) - 2) if words else 0)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def simhash_groups(prints):
+    """Fingerprint -> the group's number, by comparing all different ones."""
+    values = np.array(sorted(set(prints)), np.uint64)
+    group = np.arange(len(values))
+    for at, value in enumerate(values):
+        near = np.bitwise_count(values ^ value) <= 3
+        for other in set(group[near]) - {group[at]}:
+            group[group == other] = group[at]
+    return dict(zip(values.tolist(), group.tolist(), strict=True))
+
+
+def simhash_rows(docs):
+    """(doc, fingerprint, component) of (doc, text) rows."""
+    prints = [simhash(text) for _, text in docs]
+    groups = simhash_groups(prints)
+    least = {}
+    for (doc, _), value in zip(docs, prints, strict=True):
+        if doc is not None:
+            least[groups[value]] = min(doc, least.get(groups[value], doc))
+    for (doc, _), value in zip(docs, prints, strict=True):
+        yield doc, f"{value:016x}", least.get(groups[value])

@@ -27,7 +27,7 @@ def tables():
 
 def test_registered():
     names = contract.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13
     assert names["pipeline"] is corpus_pipeline.run
     assert queries.oracle_sql().keys() <= names.keys()
 

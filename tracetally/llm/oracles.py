@@ -181,6 +181,67 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM lasts
 """
 
+_OP11 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, array_to_string(w[pos : pos + size - 1], ' ') AS phrase, size
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS pos
+        FROM words, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)
+), f AS (SELECT lang, phrase, size, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (
+  SELECT lang, phrase, size, a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 10
+), cuts AS (
+  SELECT c.lang, c.phrase, c.size, c.a, k, l.a AS l, r.a AS r,
+    CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.a AS HUGEINT) * r.a) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), covered AS (
+  SELECT lang, array_to_string(w[k : k + 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (SELECT unnest([1, 2]) AS k) WHERE size = 3 GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+  phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM lowest LEFT JOIN covered USING (lang, phrase) JOIN totals USING (lang)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+_DRAWN = "CAST('0x' || substr(h, {}, 8) AS BIGINT)"
+_OP12 = rf"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''),
+      '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+  FROM documents
+), drawn AS (
+  SELECT *, {_DRAWN.format(1)} % (len(w) + 1) AS x, {_DRAWN.format(9)} % (len(w) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+        OR {_DRAWN.format(17)} % 100 >= 50 THEN 'plain'
+      WHEN {_DRAWN.format(25)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+), cut AS (
+  SELECT *, array_to_string(w[: least(x, y)], '') AS prefix,
+    array_to_string(w[least(x, y) + 1 : greatest(x, y)], '') AS middle,
+    array_to_string(w[greatest(x, y) + 1 :], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -190,4 +251,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_neardup": _OP6,
         "op8_rules": _OP8,
         "op10_warc": _OP10,
+        "op11_collocations": _OP11,
+        "op12_middle": _OP12,
     }

@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with production parameters."""
+"""The operators as queries over whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracetally.llm import mixing, neardup, phrases, quality, rules, secrets, sharding
-from tracetally.llm import tokens, urls, warc
+from tracetally.llm import collocations, middle, mixing, neardup, phrases, quality, rules, secrets
+from tracetally.llm import sharding, simhash, tokens, urls, warc
 from tracetally.llm.common import shared_folder
 from tracetally.llm.oracles import oracle_sql  # noqa: F401
 
@@ -125,6 +125,33 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of two to three words of each language that keep together best."""
+    docs = _table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(docs, least=10, top=2000, covered=50)
+
+
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text rearranged, or not, for filling in the middle, and restored."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = middle.fill_in_middle(docs, seed=42, percent=50, suffix_first=80)
+    return done.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints differ in at most three bits."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -137,5 +164,8 @@ def queries() -> dict[str, Query]:
         "op8_rules": op8_rules,
         "op9_tokens": op9_tokens,
         "op10_warc": op10_warc,
+        "op11_collocations": op11_collocations,
+        "op12_middle": op12_middle,
+        "op13_simhash": op13_simhash,
     }
 
