@@ -53,8 +53,9 @@ def _sources(raw: DataFrame) -> dict[str, tuple[str, T.DataType]]:
     return found
 
 
-def conform(raw: DataFrame) -> DataFrame:
-    """``raw`` with exactly the documented columns and types, matched by name, in any case.
+def conform(raw: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """``raw`` with exactly the documented columns and types, matched by name, in any case, and
+    after them those in ``keep`` as they are.
 
     Unknown columns go, missing ones are typed NULLs (so run-only data has empty commit columns),
     empty strings become NULL, and text that does not parse as its type becomes NULL.
@@ -64,7 +65,8 @@ def conform(raw: DataFrame) -> DataFrame:
         *[
             _typed(field, *sources.get(field.name.lower(), (None, None))).alias(field.name)
             for field in TRACE.fields
-        ]
+        ],
+        *keep,
     )
 
 
@@ -101,6 +103,17 @@ def sound(raw: DataFrame) -> DataFrame:
     return raw.where(_whole(raw) & ~_repeats_header(raw))
 
 
+def malformed_lines(raw: DataFrame) -> DataFrame:
+    """The text of the lines that :func:`sound` drops as malformed."""
+    return raw.where(~_whole(raw) & ~_repeats_header(raw)).select(MALFORMED)
+
+
+def refusing_malformed(raw: DataFrame) -> DataFrame:
+    """``raw``, of which a malformed line fails the query."""
+    refused = F.raise_error(F.concat(F.lit("malformed line: "), MALFORMED)).cast("boolean")
+    return raw.where(F.when(_whole(raw), True).otherwise(refused))
+
+
 def loss_counts(raw: DataFrame) -> list[Column]:
     """Aggregates to observe on a raw trace: rows, and what :func:`conform` and :func:`sound` lose."""
     sources = _sources(raw)
@@ -121,7 +134,9 @@ def loss_counts(raw: DataFrame) -> list[Column]:
     return counts
 
 
-def conform_counting_rejects(raw: DataFrame) -> tuple[DataFrame, Observation]:
+def conform_counting_rejects(
+    raw: DataFrame, keep: Iterable[str] = ()
+) -> tuple[DataFrame, Observation]:
     """:func:`conform` of the sound rows, and an observation of what was lost: how many values of
     each typed column did not parse, ``malformed`` lines and ``repeated_headers``.
 
@@ -129,7 +144,7 @@ def conform_counting_rejects(raw: DataFrame) -> tuple[DataFrame, Observation]:
     """
     counts = loss_counts(raw)
     rejects = Observation()
-    return conform(sound(raw.observe(rejects, *counts))), rejects
+    return conform(sound(raw.observe(rejects, *counts)), keep), rejects
 
 
 def _is_header(column: str = "value") -> Column:
@@ -168,11 +183,11 @@ def header_groups(spark: SparkSession, paths: Iterable[str]) -> list[list[str]]:
     for file, found in files.items():
         if len(found) != 1:
             raise ValueError(f"{file} has {len(found)} different trace headers instead of one")
-        groups[found[0]].append(_as_path(file))
+        groups[found[0]].append(as_path(file))
     return list(groups.values())
 
 
-def _as_path(uri: str) -> str:
+def as_path(uri: str) -> str:
     """A file URI as a literal path for ``spark.read``, which would expand glob characters."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
@@ -193,7 +208,7 @@ def raw_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in [*names, MALFORMED]])
 
 
-def _read_group(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+def read_group(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
     """Files that share a header, as text columns named by it."""
     first = _lines(spark, paths[:1]).where(_is_header()).first()
     if first is None:
@@ -229,7 +244,7 @@ def read_raw_traces(
         groups = [list(paths)]
     return reduce(
         lambda united, scan: united.unionByName(scan, allowMissingColumns=True),
-        [_read_group(spark, files, multi_line) for files in groups],
+        [read_group(spark, files, multi_line) for files in groups],
     )
 
 
@@ -241,14 +256,19 @@ def read_traces(
     return conform(sound(raw))
 
 
+def job_order() -> list[Column]:
+    """The order of rows in a stored file: by depth, then by job."""
+    jobs = ("commitOutcome", "runOutcome", "buildOutcome", "commitId", "runId", "buildId")
+    return [F.asc_nulls_last(name) for name in jobs]
+
+
 def clustered(trace: DataFrame) -> DataFrame:
     """Rows of each task ordered by depth and job, without a shuffle.
 
     Reports keep rows that reached a stage, so row groups and pages that hold none are skipped on
     their statistics, and rows of one job compress well and collapse early when counted.
     """
-    jobs = ["commitOutcome", "runOutcome", "buildOutcome", "commitId", "runId", "buildId"]
-    return trace.sortWithinPartitions(*[F.asc_nulls_last(name) for name in jobs])
+    return trace.sortWithinPartitions(*job_order())
 
 
 def save_trace(trace: DataFrame, path: str, mode: str = "append") -> None:
@@ -280,14 +300,12 @@ def ingest(
         raise ValueError(f"malformed must be aside or fail, not {malformed!r}")
     raw = read_raw_traces(spark, *paths, mixed=mixed, multi_line=multi_line)
     if malformed == "fail":
-        refused = F.raise_error(F.concat(F.lit("malformed line: "), MALFORMED)).cast("boolean")
-        raw = raw.where(F.when(_whole(raw), True).otherwise(refused))
+        raw = refusing_malformed(raw)
     trace, rejects = conform_counting_rejects(raw)
     save_trace(trace, into, mode)
     counts = {name: n for name, n in rejects.get.items() if n or name == "rows"}
     if counts.get("malformed"):
-        lines = raw.where(~_whole(raw) & ~_repeats_header(raw)).select(MALFORMED)
-        lines.write.mode(mode).text(f"{into.rstrip('/')}_malformed")
+        malformed_lines(raw).write.mode(mode).text(f"{into.rstrip('/')}_malformed")
     return counts
 
 
