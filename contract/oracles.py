@@ -248,6 +248,31 @@ def _repos_on_tool_version(tool: str, prefix: str) -> str:
           AND starts_with(coalesce({_VERSION}, 'Unknown'), '{prefix}')"""
 
 
+def _current_builds() -> str:
+    """Origin and branch are constants in the derived trace, so the path names the repository."""
+    return f"""
+        SELECT path, tool AS build_tool, version AS tool_version
+        FROM (SELECT path, CAST(buildStartTime AS TIMESTAMP) AS started,
+                     coalesce({_TOOL}, 'Other') AS tool, coalesce({_VERSION}, 'Unknown') AS version
+              FROM trace WHERE buildOutcome = 'Succeeded')
+        QUALIFY row_number() OVER (
+            PARTITION BY path ORDER BY started DESC NULLS LAST, tool DESC, version DESC) = 1"""
+
+
+def _commit_trend_dense(grain: str) -> str:
+    counts = ["commit_jobs", "recipe_runs", "unique_users", "unique_recipes", "repos_with_commits"]
+    counted = ", ".join(f"coalesce({name}, 0) AS {name}" for name in [*counts, "successful_commits"])
+    step = {"week": "7 DAYS", "month": "1 MONTH", "quarter": "3 MONTHS", "year": "1 YEAR"}[grain]
+    return f"""
+        SELECT * FROM (WITH wide AS ({_commit_trend(grain)}),
+        calendar AS (
+            SELECT CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP),
+                CAST(max(month) AS TIMESTAMP), INTERVAL {step})) AS DATE) AS month FROM wide)
+        SELECT month, {counted}, estimated_hours_saved FROM calendar LEFT JOIN wide USING (month)
+        UNION ALL SELECT * FROM wide WHERE month IS NULL)
+        ORDER BY month"""
+
+
 def _deepest_stage_kpis() -> str:
     """The KPIs over the trace and its run-only copy, each repository of a run once.
 
@@ -318,6 +343,29 @@ def report_selects() -> dict[str, str]:
             recipes="runRecipeId = 'org.openrewrite.java.security.OwaspA01'"
         ),
         "repos_on_tool_version": _repos_on_tool_version("Maven", "3.6"),
+        "repos_still_on_tool_version": f"""
+            SELECT 'Maven' AS build_tool, '3.6' AS version_prefix, count(DISTINCT path) AS repos
+            FROM ({_current_builds()})
+            WHERE build_tool = 'Maven' AND starts_with(tool_version, '3.6')""",
+        "current_tool_versions": f"""
+            SELECT build_tool, tool_version, count(DISTINCT path) AS repos
+            FROM ({_current_builds()}) GROUP BY ALL ORDER BY build_tool, repos DESC, tool_version""",
+        "commit_trend_between": _commit_trend().replace(
+            "WHERE commitOutcome IS NOT NULL",
+            "WHERE commitOutcome IS NOT NULL AND CAST(commitStartTime AS TIMESTAMP) >= '1993-03-15' "
+            "AND CAST(commitStartTime AS TIMESTAMP) < '1995-02-02'",
+        ),
+        "security_trend_rule_table": _security(),
+        "recipe_label_runs": """
+            SELECT CASE WHEN runRecipeId IS NULL THEN NULL
+                        WHEN starts_with(runRecipeId, 'org.openrewrite.java.security.') THEN 'Security'
+                        WHEN starts_with(runRecipeId, 'org.openrewrite.java.dep') THEN 'Dependencies'
+                        WHEN starts_with(runRecipeId, 'org.openrewrite.java.') THEN 'Java'
+                        WHEN starts_with(runRecipeId, 'x_') THEN 'X' ELSE 'Other' END AS label,
+                   count(DISTINCT runId) AS recipe_runs
+            FROM trace WHERE runOutcome IS NOT NULL GROUP BY ALL""",
+        "commit_trend_sql": _commit_trend("quarter"),
+        "top_users_sql": _top_users("LIMIT 20"),
         "recipe_run_commit_gap": _recipe_run_commit_gap(),
         "commit_trend_typed": _commit_trend(),
         "commit_trend_zoneless": _commit_trend(),
@@ -334,6 +382,12 @@ def report_selects() -> dict[str, str]:
             SELECT *, printf('%.1fh', estimated_hours_saved) AS hours_label
             FROM ({_top_recipes_with_commits()})""",
     }
+    for grain in ("week", "month", "quarter", "year"):
+        end = "" if grain == "month" else f"_{grain}"
+        selects[f"commit_trend_rollup{end}"] = _commit_trend(grain)
+        selects[f"commit_trend_dense{end}"] = _commit_trend_dense(grain)
+    for name in ("build_success_trend", "dashboard_kpis_trend"):
+        selects[f"{name}_rollup"] = _TRENDS[name]()
     return selects
 
 

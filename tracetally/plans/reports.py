@@ -23,6 +23,7 @@ from tracetally.functions.columns import (
     recipe_like,
     succeeded,
     tool_version,
+    utc_timestamp,
 )
 from tracetally.operators.tally import tally
 from tracetally.schema import REPORTS
@@ -105,6 +106,45 @@ def repos_on_tool_version(trace: DataFrame, tool: str, version_prefix: str) -> D
     )
 
 
+def current_builds(trace: DataFrame) -> DataFrame:
+    """Build tool and version of each repository and branch by its last successful build.
+
+    Of builds that started at the same time, the one with the greatest tool and version counts.
+    A repository's history collapses to its different versions before anything sorts.
+    """
+    repository = ("origin", "path", "branch")
+    versions = (
+        trace.where(succeeded("build"))
+        .groupBy(*repository, build_tool().alias("build_tool"), tool_version().alias("tool_version"))
+        .agg(F.max(utc_timestamp(F.col("buildStartTime"))).alias("at"))
+    )
+    return (
+        versions.groupBy(*repository)
+        .agg(F.max(F.struct("at", "build_tool", "tool_version")).alias("last"))
+        .select(*repository, "last.build_tool", "last.tool_version")
+    )
+
+
+def current_tool_versions(trace: DataFrame) -> DataFrame:
+    """Repositories per build tool and version that their last successful build used."""
+    return (
+        current_builds(trace)
+        .groupBy("build_tool", "tool_version")
+        .agg(F.count_distinct("path").alias("repos"))
+        .orderBy("build_tool", F.desc("repos"), "tool_version")
+    )
+
+
+def repos_still_on_tool_version(trace: DataFrame, tool: str, version_prefix: str) -> DataFrame:
+    """One row: how many repositories have such a version of ``tool`` in their last successful
+    build. Unlike :func:`repos_on_tool_version`, those that have moved on do not count."""
+    now = current_builds(trace)
+    on_version = now.where((F.col("build_tool") == tool) & F.col("tool_version").startswith(version_prefix))
+    return on_version.agg(F.count_distinct("path").alias("repos")).select(
+        F.lit(tool).alias("build_tool"), F.lit(version_prefix).alias("version_prefix"), "repos"
+    )
+
+
 def recipe_run_trend(
     trace: DataFrame, grain: str = "month", bucket_name: str = "month"
 ) -> DataFrame:
