@@ -340,11 +340,35 @@ def test_token_counts(docs, texts):
 def test_token_counts_share_prefixes(monkeypatch):
     trie = tokens.Trie(tokens.zipf_scores(["▁", "a", "b", "ab", "abc"]))
     assert trie.count("abc abd") == brute.tokens("abc abd", trie.scores)
-    assert len(trie.best) == 6  # the start, ▁, a, b, and two last letters
-    steps = []
-    monkeypatch.setattr(tokens.Trie, "_forward", lambda *a: steps.append(a) or (0, 0))
-    trie.count("abc abd")
-    assert not steps
+    nodes = dict(trie.forward)
+    assert len(nodes) == 6  # the start, ▁, a, b, and two last letters
+    trie.clear()
+    assert trie.count("abd abc") == brute.tokens("abd abc", trie.scores)
+    assert trie.forward == nodes
+
+
+@pytest.mark.parametrize("bounds", [{}, {"NODES": 50, "WORD_BYTES": 3000}])
+def test_token_counts_with_a_published_vocabulary(spark, texts, monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(tokens, name, value)
+    scores = tokens.zipf_scores(tokens.load_pieces("/opt/tokenizers/piece_bpe_32k.model"))
+    prose = " ".join(text for _, text in texts if text and len(text) < 2000)[:25_000]
+    rows = ["", None, prose, prose.replace(" ", "\n"), "\n\n a\n\nb  c\n", "a▁b ▁ c", "x" * 300 + "\n" + "日本" * 200]
+    rows += [text for _, text in texts if text and len(text) < 2000][:40]
+    docs = spark.createDataFrame([(at, text) for at, text in enumerate(rows)], DOCS)
+    got = dict(tokens.count_tokens(docs, scores).collect())
+    assert got == {at: brute.tokens(text, scores) for at, text in enumerate(rows)}
+    assert tokens.count_tokens(docs.limit(0), scores).isEmpty()
+
+
+def test_token_query(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    scores = tokens.zipf_scores(tokens.load_pieces("/opt/tokenizers/piece_bpe_32k.model"))
+    got = queries.queries()["op9_tokens"](spark, "/root/testdata/sf0.001").collect()
+    small = {row.doc_id: row.text for row in docs if not row.text or len(row.text) < 3000}
+    assert {r.doc_id: r.n_tokens for r in got if r.doc_id in small} == {
+        doc: brute.tokens(text, scores) for doc, text in small.items()}
+    assert len(got) == len(docs)
 
 
 def _pages():

@@ -2,10 +2,11 @@
 
 A text, spaces written as U+2581 and one put before it, is cut into pre-tokens before every run of
 them and around line feeds; no piece of the vocabulary reaches across such a cut, so the best
-segmentations of the pre-tokens make the best one of the text. Different pre-tokens go into a trie.
-A node's forward score, the best of all segmentations of the characters up to it, is worked out
+segmentations of the pre-tokens make the best one of the text. Different pre-tokens go into a trie,
+whose nodes are found by the prefix they stand for. A node's forward score, the best of all segmentations of the characters up to it, is worked out
 once, when the first word comes by, and shared by all words with that prefix; the node where a word
-ends has its number of tokens.
+ends has its number of tokens. At a new node, only lengths are tried that a piece with the same last
+two characters has.
 
 The vocabulary is a published one, by the path of its file. Its pieces are listed by frequency, and
 a piece's log probability is taken from its rank by Zipf's law. Scores are whole numbers, so equal
@@ -30,12 +31,18 @@ from tracetally.llm.common import ship, without
 ship(__name__)
 
 SPACE = "▁"
-#: A trie of this many nodes (some 200 MB) is dropped, and the next text starts a new one.
-NODES = 500_000
+#: A trie of this many nodes (some 150 MB) is dropped, and the next word starts a new one.
+NODES = 1_000_000
+#: A forward score is the score, and below it, minus the number of tokens in so many bits: of equal
+#: scores, that with fewer tokens is larger. A byte of a pre-token of LONGEST characters fits.
+TOKEN_BITS = 20
+TOKENS = (1 << TOKEN_BITS) - 1
+#: Words' counts are dropped when they may take more than this; what one takes besides its text.
+WORD_BYTES, OF_WORD = 150_000_000, 200
 #: Longer pre-tokens are counted by themselves and not kept.
 LONGEST = 256
 ADDED = "n_tokens"
-_CUT = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+_CUT = re.compile("\n| *[^ \n]+| +")
 
 
 def zipf_scores(pieces: list[str]) -> dict[str, int]:
@@ -65,77 +72,108 @@ def load_pieces(path: str) -> list[str]:
 
 
 def pretokens_of(marked: str) -> list[str]:
-    """The pre-tokens of a text whose spaces are SPACE already."""
+    """The pre-tokens of a text with a space put before it, and spaces for SPACE."""
     return _CUT.findall(marked)
 
 
+def _width(character: str) -> int:
+    return len((SPACE if character == " " else character).encode())
+
+
 class Trie(dict):
     """Tokens of words, by the forward scores that the words' prefixes share.
 
     As a dict it has the words' token counts, each counted when it is first asked for; a word is
-    what stands between two spaces and starts with an implicit SPACE.
+    what stands between two spaces and starts with an implicit one. In here SPACE is a space again,
+    which keeps words of ASCII characters in one byte each.
     """
 
     def __init__(self, scores: dict[str, int]):
         super().__init__()
+        scores = {piece.replace(SPACE, " "): score for piece, score in scores.items()}
         self.scores = scores
         # A byte is less likely than every piece.
         self.byte = min(scores.values(), default=0) - 10_000_000
         # The longest piece that ends with a character bounds how far back to look from it.
         self.reach: dict[str, int] = {}
-        for piece in scores:
+        self.pieces = {piece: (score << TOKEN_BITS) - 1 for piece, score in scores.items()}
+        # The lengths of the pieces that end with two characters, shortest first.
+        self.lengths: dict[str, list[int]] = {}
+        for piece in sorted(scores, key=len):
             self.reach[piece[-1]] = max(len(piece), self.reach.get(piece[-1], 0))
+            if len(piece) > 1:
+                known = self.lengths.setdefault(piece[-2:], [])
+                if len(piece) not in known:
+                    known.append(len(piece))
+        # Counts of words that start a line; those of all others are the dict's own.
+        self.lines: dict[str, int] = {}
+        self.held = 0
         self.forget()
 
     def forget(self) -> None:
-        self.clear()
-        self.edges: dict[tuple[int, str], int] = {}
-        self.best, self.tokens = [0], [0]
+        """Starts the nodes anew. The words' counts stay."""
+        self.forward = {"": 0}
 
     def __missing__(self, word: str) -> int:
-        if "\n" in word or len(word) > LONGEST:
-            return sum(map(self.insert, pretokens_of(SPACE + word)))
-        found = self[word] = self.insert(SPACE + word)
+        if "\n" in word:
+            first, *lines = word.split("\n")
+            return self[first] + len(lines) * self.insert("\n") + sum(map(self.line, filter(None, lines)))
+        if len(word) > LONGEST:
+            return self.insert(" " + word)
+        self.held += 4 * len(word) + OF_WORD
+        if self.held > WORD_BYTES:
+            self.clear()
+            self.lines.clear()
+            self.held = 0
+        found = self[word] = self.insert(" " + word)
+        return found
+
+    def line(self, word: str) -> int:
+        """Tokens of a word that starts a line, and so without SPACE."""
+        found = self.lines.get(word)
+        if found is None:
+            found = self.insert(word)
+            if len(word) <= LONGEST:
+                self.held += 4 * len(word) + OF_WORD
+                self.lines[word] = found
         return found
 
     def insert(self, word: str) -> int:
         """Tokens of the pre-token ``word``, whose nodes are added where they are missing."""
         if len(word) > LONGEST:
             return self.alone(word)
-        edges, node, path = self.edges, 0, [0]
-        for end, character in enumerate(word, 1):
-            below = edges.get((node, character))
-            if below is None:
-                below = edges[node, character] = len(self.best)
-                score, fewer = self._forward(word, end, path)
-                self.best.append(score)
-                self.tokens.append(-fewer)
-            node = below
-            path.append(node)
-        return self.tokens[node]
-
-    def _forward(self, word: str, end: int, path: list[int]) -> tuple[int, int]:
-        """The best (score, minus tokens) of the first ``end`` characters; ``path`` has the nodes
-        of all shorter prefixes."""
-        scores, best, tokens = self.scores, self.best, self.tokens
-        last, character = path[end - 1], word[end - 1]
-        width = len(character.encode())
-        top, fewer = best[last] + width * self.byte, -tokens[last] - width
-        for start in range(max(0, end - self.reach.get(character, 0)), end):
-            score = scores.get(word[start:end])
-            if score is not None:
-                before = path[start]
-                score += best[before]
-                if score > top or score == top and -tokens[before] - 1 > fewer:
-                    top, fewer = score, -tokens[before] - 1
-        return top, fewer
+        if len(self.forward) > NODES:
+            self.forget()
+        forward, pieces, lengths = self.forward, self.pieces, self.lengths
+        known = len(word)
+        while (value := forward.get(word[:known])) is None:
+            known -= 1
+        for end in range(known + 1, len(word) + 1):
+            character = word[end - 1]
+            one = pieces.get(character)
+            # Where a character is a piece, its bytes are less likely.
+            value += self.bytes_of(character) if one is None else one
+            for length in lengths.get(word[end - 2 : end], ()):
+                if length > end:
+                    break
+                piece = pieces.get(word[end - length : end])
+                if piece is not None:
+                    piece += forward[word[: end - length]]
+                    if piece > value:
+                        value = piece
+            forward[word[:end]] = value
+        return -value & TOKENS
+
+    def bytes_of(self, character: str) -> int:
+        width = _width(character)
+        return width * (self.byte << TOKEN_BITS) - width
 
     def alone(self, word: str) -> int:
         """A very long pre-token, of which only as many prefixes are kept as a piece reaches."""
         keep = max(self.reach.values(), default=0) + 1
         best, tokens = [0], [0]
         for end, character in enumerate(word, 1):
-            width = len(character.encode())
+            width = _width(character)
             found = (best[-1] + width * self.byte, -tokens[-1] - width)
             for start in range(max(0, end - self.reach.get(character, 0)), end):
                 score = self.scores.get(word[start:end])
@@ -151,14 +189,15 @@ class Trie(dict):
         if not text:
             return 0
         if text[0] == " " or "  " in text or SPACE in text:
-            return sum(map(self.insert, pretokens_of(SPACE + text.replace(" ", SPACE))))
+            return sum(map(self.insert, pretokens_of(" " + text.replace(SPACE, " "))))
         return sum(map(self.__getitem__, text.split(" ")))
 
 
 def count_tokens(docs: DataFrame, scores: dict[str, int], text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens``.
 
-    Nothing is shuffled: a task keeps the trie of the words it has met, up to NODES nodes.
+    Nothing is shuffled: a task keeps the trie of the words it has met, up to NODES nodes, and the
+    counts of whole words, up to WORD_BYTES, whatever the length of a text.
     ``scores`` go to the executors; a vocabulary is bounded by its file.
     """
     rows = without(docs, ADDED)
@@ -170,8 +209,6 @@ def count_tokens(docs: DataFrame, scores: dict[str, int], text: str = "text") ->
             tokens = []
             for value in batch.column(len(kept)):
                 tokens.append(trie.count(value.as_py()))
-                if len(trie.best) > NODES:
-                    trie.forget()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(kept)], pa.array(tokens, pa.int64())],
                 [*(f.name for f in kept), ADDED],
