@@ -293,6 +293,45 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def _repeats(case):
+    words = lambda n: " ".join(["w"] * n)
+    if case == "no ids":
+        return [(None, "a", words(10)) for _ in range(1000)]
+    if case == "no ids, all kinds":
+        return [(None, "ab"[at % 2], f"t{at % 37} " + words(at % 50)) for at in range(1200)]
+    if case == "one id":
+        return [(7, "a", words(10)) for _ in range(800)] + [(at + 10, "a", words(10)) for at in range(200)]
+    if case == "a third is one row":
+        rows = [(at, "abc"[at % 3], words(1 + at % 40)) for at in range(1000)]
+        return rows + [(1, "b", words(13))] * 500 + [(None, None, None)] * 5
+    return [(1, "a", words(5)), (2, "a", words(1))] + [(3, "b", words(9))] * 2
+
+
+@pytest.mark.parametrize("case", ["no ids", "no ids, all kinds", "one id", "a third is one row", "few"])
+def test_mixing_of_rows_that_repeat(spark, case, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_BITS", 5)
+    rows = _repeats(case)
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    runs = [mixing.mix(docs.repartition(n)) for n in (1, 5)]
+    kept = [sorted(map(repr, run.select("doc_id", "source", "text", "copies", "taken").collect())) for run in runs]
+    assert kept[0] == kept[1] and len(kept[0]) == len(rows)
+    got = runs[1].toPandas().fillna({"source": "\U0010ffff"})
+    assert (got["size"] == got.text.fillna("").str.split().str.len()).all()
+    assert (got.taken == got.copies * got["size"]).all() and got.copies.between(0, 2).all()
+    want = brute.targets(got.groupby("source")["size"].sum().to_dict())
+    for source, group in got.groupby("source"):
+        assert (group.source_size == group["size"].sum()).all()
+        assert group.target.iloc[0] == pytest.approx(want[source])
+        assert abs(group.taken.sum() - want[source]) <= group["size"].max()
+
+
+def test_mixing_that_does_not_end_fails(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_STEPS", 1)
+    docs = spark.createDataFrame([(at, "a" if at % 3 else "b", "w " * (at + 1)) for at in range(50)], "doc_id int, source string, text string")
+    with pytest.raises(RuntimeError, match="steps"):
+        mixing.mix(docs, weights=(1, 7), share=0.9).collect()
+
+
 def test_mixing_repairs_what_long_documents_leave(spark, monkeypatch):
     sizes = [400, 3000] + [20] * 60
     rows = [(at, source, "w " * n) for source in "ab" for at, n in enumerate(sizes)]
@@ -338,12 +377,13 @@ def test_token_counts(docs, texts):
 
 
 def test_token_counts_share_prefixes(monkeypatch):
-    trie = tokens.Trie(tokens.zipf_scores(["▁", "a", "b", "ab", "abc"]))
-    assert trie.count("abc abd") == brute.tokens("abc abd", trie.scores)
+    scores = tokens.zipf_scores(["▁", "a", "b", "ab", "abc"])
+    trie = tokens.Trie(scores)
+    assert trie.count("abc abd") == brute.tokens("abc abd", scores)
     nodes = dict(trie.forward)
     assert len(nodes) == 6  # the start, ▁, a, b, and two last letters
     trie.clear()
-    assert trie.count("abd abc") == brute.tokens("abd abc", trie.scores)
+    assert trie.count("abd abc") == brute.tokens("abd abc", scores)
     assert trie.forward == nodes
 
 

@@ -7,9 +7,10 @@ multiplier l per source. Its convex dual is solved by Newton steps that run as a
 can't run away. The rates are then rounded to whole copies.
 
 Defined results: NULL text has no tokens; a NULL source is a source of its own, the last one;
-documents without tokens are taken once and count nothing; repeated rows are separate documents
-that get the same number of copies; an empty table gives an empty result; columns called like the
-result's are replaced.
+documents without tokens are taken once and count nothing; rows that repeat source, key and text are
+separate documents, which share out the copies that are due to them, so reruns agree on how many of
+them get one more; keys may be NULL or repeat; an empty table gives an empty result; columns called
+like the result's are replaced.
 """
 
 from __future__ import annotations
@@ -25,11 +26,16 @@ from tracetally.llm.common import stored, white_words, without
 ADDED = ("size", "source_size", "target", "rate", "copies", "taken")
 #: Newton stops when every source is this close to its target, relatively.
 TOLERANCE = 1e-7
-MOST_STEPS = 60
+#: A Newton step that leaves its bracket halves it, so far fewer are ever needed.
+MOST_STEPS = 400
 #: Resolution of the rounding threshold.
 BINS = 8192
 #: Times that what rounding leaves of a source's target goes to documents that are no longer.
 REPAIRS = 4
+#: Equal rows are numbered this many (a power of two) at a time.
+GROUP_BITS = 13
+#: The golden ratio: its multiples lie evenly in [0, 1), also those of any stretch of numbers.
+GOLDEN = 0.6180339887498949
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -103,9 +109,11 @@ def multipliers(cells: DataFrame, wanted: DataFrame, cap: float) -> DataFrame:
         )
     )
     exact = "decimal(38,9)"
-    for _ in range(MOST_STEPS):
-        if state.where("NOT _done").isEmpty():
-            break
+    steps = 0
+    while not state.where("NOT _done").isEmpty():
+        steps += 1
+        if steps > MOST_STEPS:
+            raise RuntimeError(f"rates did not reach their targets in {MOST_STEPS} steps")
         todo = state.where("NOT _done").select(F.col("source").alias("_of"), "multiplier", "mean")
         rate = _rate(F.col("multiplier"), F.col("size"), F.col("mean"), cap)
         tokens = (F.col("size") * F.col("_n")).cast("double") * rate
@@ -125,7 +133,8 @@ def multipliers(cells: DataFrame, wanted: DataFrame, cap: float) -> DataFrame:
         step = at + gap / F.nullif(F.col("_slope"), F.lit(0.0))
         halved = F.when(low == -math.inf, 2 * high - 1).otherwise((low + high) / 2)
         moved = F.when((step > low) & (step < high), step).otherwise(halved)
-        close = F.abs(gap) <= F.col("target") * TOLERANCE
+        closed = (high - low) <= F.abs(at) * 1e-15
+        close = (F.abs(gap) <= F.col("target") * TOLERANCE) | closed
         open_ = ~F.col("_done") & F.col("_got").isNotNull()
         state = stored(
             state.join(sums, F.col("source").eqNullSafe(F.col("_of")), "left").select(
@@ -146,11 +155,50 @@ def _document_rate(cap: float) -> Column:
     return F.coalesce(rate, F.lit(1.0))
 
 
-def _bin(rate: Column, key: Column) -> Column:
-    """Where the fraction of ``rate`` plus the key's hash in [0, 1) lies; -1 for whole rates."""
+def _chance(salt: int) -> Column:
+    """A number in [0, 1) for each row: a hash of its key, and for equal rows steps from there."""
+    start = F.shiftrightunsigned(F.xxhash64("_key", F.lit(salt)), 11) / F.lit(float(1 << 53))
+    moved = start + F.col("_nth") * F.lit(GOLDEN)
+    return moved - F.floor(moved)
+
+
+def _bin(rate: Column) -> Column:
+    """Where the fraction of ``rate`` plus the row's chance lies; -1 for whole rates."""
     part = rate - F.floor(rate)
-    chance = F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(float(1 << 53))
-    return F.when(part > 0, F.floor((part + chance) * (BINS // 2))).otherwise(-1).cast("int")
+    return F.when(part > 0, F.floor((part + _chance(-1)) * (BINS // 2))).otherwise(-1).cast("int")
+
+
+def _keyed(key: str) -> Column:
+    """A hash of source, key and text. The numbers between keep NULLs in their places."""
+    return F.xxhash64("source", F.lit(1), key, F.lit(2), "text")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (any order) with ``_nth``, from 0 up within each ``_key``.
+
+    Rows of one key are numbered in groups of bounded size, whatever their number, and only the
+    groups' sizes are added up by key.
+    """
+    group = F.shiftright(F.monotonically_increasing_id(), GROUP_BITS)
+    rows = stored(rows.withColumn("_group", group))
+    sizes = rows.groupBy("_key", "_group").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = stored(
+        sizes.select("_key", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    )
+    within = Window.partitionBy("_key", "_group").orderBy(F.lit(0))
+    counted = rows.withColumn("_place", F.row_number().over(within)).join(ahead, ["_key", "_group"])
+    return counted.withColumn("_nth", F.col("_ahead") + F.col("_place") - 1).drop(
+        "_group", "_place", "_ahead"
+    )
+
+
+def _told_apart(rows: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """``rows`` with ``_nth``: a number within its key for rows whose key is in ``repeated``."""
+    if repeated is None:
+        return rows.withColumn("_nth", F.lit(0).cast("bigint"))
+    alone = rows.join(repeated, "_key", "left_anti").withColumn("_nth", F.lit(0).cast("bigint"))
+    return alone.unionByName(_numbered(rows.join(repeated, "_key", "left_semi")))
 
 
 def _with_thresholds(slim: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
@@ -161,7 +209,7 @@ def _with_thresholds(slim: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
         slim.join(plan, F.col("source").eqNullSafe(F.col("_source")))
         .select(
             "_source",
-            _bin(rate, F.col("_key")).alias("_bin"),
+            _bin(rate).alias("_bin"),
             "size",
             (F.floor(rate) * F.col("size")).alias("_sure"),
         )
@@ -195,19 +243,19 @@ def _with_thresholds(slim: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
     return plan.join(best, F.col("_source").eqNullSafe(F.col("_of")), "left").drop("_of")
 
 
-def _turn(key: Column, repair: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(repair)), F.lit(BINS)).cast("int")
+def _turn(repair: int) -> Column:
+    return F.floor(_chance(repair) * BINS).cast("int")
 
 
-def _with_extra(rows: DataFrame, key: str, cap: float, repairs: int) -> DataFrame:
+def _with_extra(rows: DataFrame, cap: float, repairs: int) -> DataFrame:
     """``rows`` with ``_extra``, 1 for a copy beyond the whole part of the rate, else 0."""
     rate = _document_rate(cap)
-    extra = F.when(_bin(rate, F.col(key)) >= F.col("_threshold"), 1).otherwise(0)
+    extra = F.when(_bin(rate) >= F.col("_threshold"), 1).otherwise(0)
     steps = [
         F.struct(
             F.col(f"_from{at}").alias("held"),
             F.col("size").between(1, F.col(f"_limit{at}")).alias("short"),
-            (_turn(F.col(key), at) < F.col(f"_below{at}")).alias("chosen"),
+            (_turn(at) < F.col(f"_below{at}")).alias("chosen"),
         )
         for at in range(repairs)
     ]
@@ -236,13 +284,13 @@ def _repaired(slim: DataFrame, plan: DataFrame, cap: float, repair: int) -> Data
     rows = slim.join(plan, F.col("source").eqNullSafe(F.col("_source")))
     rate = _document_rate(cap)
     bins = (
-        _with_extra(rows, "_key", cap, repair)
+        _with_extra(rows, cap, repair)
         .where(F.col("size").between(1, F.col(f"_limit{repair}")) & (rate > F.floor(rate)))
         .where(F.col("_extra") == F.col(f"_from{repair}"))
         .groupBy(
             F.col("_source").alias("_of"),
             F.abs("_gap").alias("_left"),
-            _turn(F.col("_key"), repair).alias("_bin"),
+            _turn(repair).alias("_bin"),
         )
         .agg(F.sum("size").alias("_more"))
     )
@@ -274,19 +322,26 @@ def mix(
     ``rate``, the whole number of ``copies`` to take, and the words ``taken`` by them.
 
     Rounding: a document gets one more than the whole part of its rate if the rest plus a hash of
-    its key reaches a threshold. The threshold is its source's own, set from a histogram of those
+    its key and text reaches a threshold. The threshold is its source's own, set from a histogram of those
     sums so that the source comes as close to its target as whole documents in that order allow;
     short documents then make up for what is left, REPAIRS times.
 
-    Only (source, size) counts, histograms and one row per source are shuffled; documents stay
-    where they are while the table of sources is under Spark's broadcast threshold, and beyond it
-    Spark splits a hot source at run time.
+    Only (source, size) counts, histograms, one hash per row and one row per source are shuffled;
+    documents stay where they are while the table of sources is under Spark's broadcast threshold,
+    and beyond it Spark splits a hot source at run time. Rows that repeat are stored and numbered.
     """
     if not 0 < share <= cap:
         raise ValueError("share must be above 0 and at most cap")
     docs = without(docs, *ADDED)
     size = F.size(white_words(F.col("text"))).cast("bigint")
-    slim = stored(docs.select("source", F.col(key).alias("_key"), size.alias("size")))
+    slim = stored(docs.select("source", _keyed(key).alias("_key"), size.alias("size")))
+    repeated = slim.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key")
+    repeated = stored(repeated)
+    if repeated.isEmpty():
+        repeated = None
+    slim = _told_apart(slim, repeated)
+    if repeated is not None:
+        slim = stored(slim)
     cells = stored(slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("_n")))
     sizes = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("_n")).alias("source_size"))
     wanted = stored(targets(sizes, weights, share, cap))
@@ -303,13 +358,14 @@ def mix(
     held = [f"_held{at}" for at in range(len(docs.columns))]
     rows = docs.select(
         F.col("source"),
-        F.col(key).alias("_key"),
+        _keyed(key).alias("_key"),
         size.alias("size"),
         *[F.col(f"`{name}`").alias(at) for name, at in zip(docs.columns, held)],
-    ).join(plan, F.col("source").eqNullSafe(F.col("_source")), "left")
+    )
+    rows = _told_apart(rows, repeated).join(plan, F.col("source").eqNullSafe(F.col("_source")), "left")
     rate = _document_rate(cap)
     copies = (F.floor(rate) + F.col("_extra")).cast("int")
-    return _with_extra(rows, "_key", cap, REPAIRS).select(
+    return _with_extra(rows, cap, REPAIRS).select(
         *[F.col(at).alias(name) for name, at in zip(docs.columns, held)],
         "size",
         "source_size",
