@@ -9,43 +9,71 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracetally.llm import mixing, neardup, phrases, quality, sharding
-from tracetally.llm.common import stored
+from tracetally.llm.common import stored, without
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, a different number for every row, the same whenever it is read.
+def _own_names(docs: DataFrame) -> list[str]:
+    """A name for each column that no operator uses, so that any column comes back as it was."""
+    return [f"_own{at}" for at in range(len(docs.columns))]
 
-    Rows of Parquet files are numbered by file and place; any other table is stored first.
+
+def _aside(docs: DataFrame, *needed: str | Column) -> DataFrame:
+    """All columns of ``docs`` under names of their own, and those ``needed`` under theirs."""
+    quoted = ["`" + name.replace("`", "``") + "`" for name in docs.columns]
+    own = [F.col(name).alias(at) for name, at in zip(quoted, _own_names(docs), strict=True)]
+    return docs.select(*own, *needed)
+
+
+def _back(rows: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    """The columns of ``docs`` from rows that have them aside, and ``more``."""
+    own = [F.col(at).alias(name) for name, at in zip(docs.columns, _own_names(docs), strict=True)]
+    return rows.select(*own, *more)
+
+
+def _numbered(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` aside, with ``_row``: a number for every row, the same whenever it is read.
+
+    It is made of the name of the row's file and its place there, so ``docs`` is read from files;
+    any other table is stored first.
     """
-    plan = docs._jdf.queryExecution().analyzed()
-    if plan.children().nonEmpty() or plan.metadataOutput().isEmpty():
-        docs = stored(docs)
-    places = docs.select("*", "_metadata.file_path", "_metadata.row_index")
-    # One task, over the names of the files only.
-    files = places.select("file_path").distinct().coalesce(1)
-    files = stored(files.withColumn("_file", F.monotonically_increasing_id()))
-    row = F.shiftleft("_file", 40) + F.col("row_index")
-    return places.join(F.broadcast(files), "file_path").select(*docs.columns, row.alias("_row"))
+    rows = _aside(docs, *needed)
+    place = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at")]
+    try:
+        placed = None if "_metadata" in docs.columns else _aside(docs, *needed, *place)
+    except AnalysisException:
+        placed = None
+    while placed is None or not _same_hash(placed).isEmpty():
+        placed = stored(rows).select("*", *place)
+    # Places in a file stay below 2^41, so two rows have one number only if their files share a hash.
+    row = F.xxhash64("_path").cast("decimal(20,0)") * F.lit(1 << 41).cast("decimal(13,0)") + F.col("_at")
+    return placed.select(*rows.columns, row.cast("decimal(38,0)").alias("_row"))
+
+
+def _same_hash(placed: DataFrame) -> DataFrame:
+    """Hashes that two files have."""
+    files = placed.select("_path").distinct().groupBy(F.xxhash64("_path").alias("_hash"))
+    return files.agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    scored = quality.classify(docs, _table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = quality.classify(_aside(docs, "doc_id", "text"), _table(spark, sf_dir, "labels"))
+    return _back(scored.where("predicted = 1"), docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest id, of each group of near duplicates. Rows that repeat an id
     are told apart by their place; rows without an id come last."""
-    rows = _numbered(docs)
+    rows = _numbered(docs, "doc_id", "text")
     found = neardup.near_duplicates(rows, key="_row", percent=80)
     groups = stored(found.select("_row", F.col("component_id").alias("_group")))
     ids = rows.select("_row", "doc_id")
@@ -56,27 +84,30 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")
     )
     others = stored(members.select("_row").join(first.select("_row"), "_row", "left_anti"))
-    return rows.join(others, "_row", "left_anti").select(*docs.columns)
+    return _back(rows.join(others, "_row", "left_anti"), docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a run of ten words, or a whole shorter item, of the benchmark."""
-    rows = _numbered(docs)
-    found = phrases.decontaminate(rows, _table(spark, sf_dir, "benchmark"), key="_row")
+    rows = _numbered(docs, "text")
+    texts = rows.select("_row", "text")
+    found = phrases.decontaminate(texts, _table(spark, sf_dir, "benchmark"), key="_row")
     dirty = stored(found.where("contaminated").select("_row"))
-    return rows.join(dirty, "_row", "left_anti").select(*docs.columns)
+    return _back(rows.join(dirty, "_row", "left_anti"), docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
-    copies = F.sequence(F.lit(1), F.col("copies"))
-    taken = mixing.mix(docs).where("copies > 0")
-    return taken.select(*docs.columns, F.explode(copies).alias("_copy")).drop("_copy")
+    taken = mixing.mix(_aside(docs, "doc_id", "source", "text")).where("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
+    return _back(taken.select("*", copies), docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its ``shard`` of eight and its ``slot`` there."""
-    return sharding.shard(docs, "doc_id", shards=8)
+    """Every row with its ``shard`` of eight and its ``slot`` there, in place of columns of those
+    names."""
+    docs = without(docs, "shard", "slot")
+    return _back(sharding.shard(_aside(docs, "doc_id"), "doc_id", shards=8), docs, "shard", "slot")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
