@@ -99,3 +99,20 @@ def test_pipeline_filters_decide_row_by_row(spark, tables):
     got = corpus_pipeline.uncontaminated(spark, docs, SF_DIR).collect()
     want = [row for row in rows if row[1] != item]
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_pipeline_leaves_all_columns_as_they_are(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ["file_path", "row_index", "_row", "_file", "_path", "_at", "score", "predicted", "size", "target", "rate",
+             "copies", "taken", "_copy", "_key", "_nth", "_of", "_gap", "mean", "_held0", "_own0", "a`b", "c.d", "id",
+             "label", "quality", "n", "hash", "row", "pos", "t", "_start", "_place", "_metadata", "component_id"]
+    wide = docs.withColumns({name: F.lit(at) for at, name in enumerate(names)})
+    plain, kept = stored(docs), stored(wide)
+    for _, stage in corpus_pipeline.STAGES:
+        plain, kept = stored(stage(spark, plain, SF_DIR)), stored(stage(spark, kept, SF_DIR))
+        assert kept.columns[: len(wide.columns)] == wide.columns
+        quoted = [F.col("`" + name.replace("`", "``") + "`") for name in names]
+        assert [tuple(row) for row in kept.select(*quoted).distinct().collect()] == [tuple(range(len(names)))]
+        rows = lambda frame: sorted(map(tuple, frame.select("doc_id", "text").collect()))
+        assert rows(plain) == rows(kept)
+    assert kept.columns == [*wide.columns, "shard", "slot"]
