@@ -10,7 +10,7 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from tracetally.llm import collocations, middle, queries, simhash
+from tracetally.llm import collocations, middle, phrases, queries, simhash
 
 DOCS = "doc_id long, text string"
 ODD = ["", None, " \n\t", "a", "A b", " x  y\tz ", "one. two, three; four", "ü\x0bé ñ", "<P>", "a <S> b", "日本 語😀 x", "<M"]
@@ -183,3 +183,24 @@ def test_simhash_query(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     want = brute.simhash_rows([tuple(row) for row in docs.collect()])
     same(queries.queries()["op13_simhash"](spark, SF_DIR).collect(), want)
+
+
+# Decontamination
+
+def test_an_empty_benchmark_and_an_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (None, "")], DOCS)
+    items = spark.createDataFrame([(1, "a b c"), (2, None), (3, " .")], "item_id long, text string")
+    for none in (items.limit(0), items.where("item_id > 1")):
+        got = phrases.decontaminate(docs, none)
+        same(got.select("doc_id", "n_words", "n_hit", "contaminated").collect(), [(1, 3, 0, False), (2, 0, 0, False), (None, 0, 0, False)])
+    assert phrases.decontaminate(docs.limit(0), items).isEmpty()
+
+
+def test_a_long_item(spark):
+    """An item of many words costs in proportion: no row has all of its windows."""
+    words = [f"w{at % 5000}x{at // 5000}" for at in range(20_000)]
+    rows = [(1, " ".join(words[3000:9000])), (2, " ".join(words[:9])), (3, " ".join(["q", *words[19_990:], "q"]))]
+    items = [("long", " ".join(words)), ("short", "q q q")]
+    got = phrases.decontaminate(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id string, text string"))
+    same([tuple(row)[:6] for row in got.collect()], brute.contaminated(rows, items))
+    assert dict(got.select("doc_id", "n_hit").collect()) == {1: 6000, 2: 0, 3: 10}

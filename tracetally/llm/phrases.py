@@ -39,12 +39,14 @@ def words(text: Column) -> Column:
 
 def vocabulary(items: DataFrame) -> DataFrame:
     """``term`` and its number ``t``, from 1, of all words of the items; number 0 is the end."""
+    # The numbers are of no order, and kept as they are by storing them.
     terms = (
         items.select(F.explode(words(F.col("text"))).alias("term"))
         .distinct()
-        .select("term", F.row_number().over(Window.orderBy("term")).alias("t"))
+        .select("term", (F.monotonically_increasing_id() + 1).alias("t"))
     )
-    return stored(terms.union(terms.sparkSession.range(1).select(F.lit(END), F.lit(0))))
+    end = terms.sparkSession.range(1).select(F.lit(END), F.lit(0).cast("bigint"))
+    return stored(terms.union(end))
 
 
 def build_index(docs: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -124,23 +126,20 @@ def search(index: DataFrame, items: DataFrame, terms: DataFrame, width: int) ->
         .join(rare, "t")
         .select("row", "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
     )
-    lists = met.groupBy("row", "item", "shift").agg(F.collect_set("at").alias("ats"))
-    # Stored, so that the join below is plain and Spark can split the rows of a frequent item.
-    wanted = stored(
-        pairs.groupBy("item").agg(
-            F.collect_list(F.struct("first", "stop", "at1", "at2")).alias("pairs")
-        )
-    )
-    both = F.filter(
-        "pairs",
-        lambda p: F.array_contains("ats", p["at1"])
-        & (p["at2"].isNull() | F.array_contains("ats", F.coalesce(p["at2"], p["at1"]))),
-    )
-    candidates = stored(
-        lists.join(wanted, "item")
-        .select("row", "item", "shift", F.explode(both).alias("p"))
-        .select("row", "item", "shift", F.col("p.first").alias("first"), F.col("p.stop").alias("stop"))
-    )
+    met = stored(met)
+    # Windows that share their two rarest terms are looked for together.
+    couples = stored(pairs.select("item", "at1", "at2").distinct())
+    once = met.withColumnRenamed("at", "at1").join(couples, ["item", "at1"])
+    again = met.withColumnRenamed("at", "at2")
+    twice = once.where("at2 IS NOT NULL").join(again, ["row", "item", "shift", "at2"], "left_semi")
+    found = twice.unionByName(once.where("at2 IS NULL")).alias("found")
+    window = pairs.select("item", "at1", "at2", "first", "stop").alias("window")
+    same = [
+        F.col("found.item") == F.col("window.item"),
+        F.col("found.at1") == F.col("window.at1"),
+        F.col("found.at2").eqNullSafe(F.col("window.at2")),
+    ]
+    candidates = stored(found.join(window, same).select("row", "found.item", "shift", "first", "stop"))
     # The words that the candidates call for, each once, against what the documents have there.
     called = (
         candidates.select(
@@ -230,7 +229,7 @@ def numbered_items(items: DataFrame, item_id: str = "item_id") -> DataFrame:
     return stored(
         different.groupBy("_w")
         .agg(F.collect_set("id").alias("ids"))
-        .select(F.row_number().over(Window.orderBy("_w")).alias("item"), "_w", "ids")
+        .select(F.monotonically_increasing_id().alias("item"), "_w", "ids")
     )
 
 
