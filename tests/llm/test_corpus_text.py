@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from tracetally.llm import collocations, middle, phrases, queries, simhash
+from tracetally.llm import collocations, middle, phrases, quality, queries, simhash
 
 DOCS = "doc_id long, text string"
 ODD = ["", None, " \n\t", "a", "A b", " x  y\tz ", "one. two, three; four", "ü\x0bé ñ", "<P>", "a <S> b", "日本 語😀 x", "<M"]
@@ -204,3 +205,47 @@ def test_a_long_item(spark):
     got = phrases.decontaminate(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id string, text string"))
     same([tuple(row)[:6] for row in got.collect()], brute.contaminated(rows, items))
     assert dict(got.select("doc_id", "n_hit").collect()) == {1: 6000, 2: 0, 3: 10}
+
+
+# Quality
+
+@pytest.mark.parametrize("bad", [1, 2, 3])
+def test_few_labels_still_teach(spark, bad, monkeypatch):
+    """Also with a bound on n-grams that few rows fit in."""
+    good = [f"a calm line of prose number {at} that goes on for a while" for at in range(12)]
+    junk = [f"BUY!!! $$$ {at} $$$ CLICK >>> #### WIN {at} @@@@" for at in range(6)]
+    texts = good + junk
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).withColumn("score", F.lit("x"))
+    held = {row.doc_id for row in docs.where(quality.held_out(F.col("doc_id"))).collect()}
+    teach = [at for at in range(len(good), len(texts)) if at not in held][:bad]
+    marks = [(at, 1) for at in range(len(good))] + [(at, 0) for at in teach] + [(teach[0], 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    for most in (quality.SAMPLE_FEATURES, 60):
+        monkeypatch.setattr(quality, "SAMPLE_FEATURES", most)
+        scores = {row.doc_id: row.score for row in quality.classify(docs, labels).collect()}
+        assert min(scores[at] for at in range(len(good))) > max(scores[at] for at in range(len(good), len(texts)))
+    repeated = quality.classify(docs.union(docs), labels.union(labels)).collect()
+    assert len(repeated) == 2 * len(texts) and len({(r.doc_id, r.score) for r in repeated}) == len(texts)
+    only = quality.classify(docs, labels.where("quality = 1")).select("score").distinct().collect()
+    assert len(only) == 1
+
+
+def test_a_text_scores_alike_around_the_size_of_a_window(spark):
+    prose = "the quiet river runs past the old mill and on to the sea "
+    rows = [(at, (prose * 2000)[: quality.WINDOW + size]) for at, size in enumerate((-1, 0, 1, 40_000))]
+    rows += [(at, prose + str(at)) for at in range(10, 40)] + [(at, f"$$$ {at} !!! ### {at} >>>") for at in range(40, 70)]
+    labels = spark.createDataFrame([(at, int(at < 40)) for at in range(10, 70)], "doc_id long, quality int")
+    got = dict(quality.classify(spark.createDataFrame(rows, DOCS), labels).select("doc_id", "score").collect())
+    assert max(got[at] for at in range(4)) - min(got[at] for at in range(4)) < 0.02 and got[0] > 0.9
+
+
+def test_quality_query_on_held_out_rows(spark):
+    got = queries.queries()["op4_quality"](spark, SF_DIR).collect()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert sorted(row.doc_id for row in got) == sorted(row.doc_id for row in docs.select("doc_id").collect())
+    assert all(0 <= row.score <= 1 and row.predicted == (row.score >= 0.3) for row in got)
+    assert all(row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0) for row in got)
+    labels = dict(spark.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", "quality").collect())
+    of = {side: [r.score for r in got if r.held_out and labels.get(r.doc_id) == side] for side in (0, 1)}
+    wins = np.mean([(a > b) + (a == b) / 2 for a in of[1] for b in of[0]])
+    assert wins > 0.98

@@ -7,9 +7,10 @@
    it: one set of a text of some MB would hold nearly all numbers, whatever the text says.
 2. Over all labelled rows, the log ratio of each n-gram's smoothed frequency between the classes.
 3. On a bounded sample of the labelled rows (``most`` per class, those with the smallest hash of
-   their id), a linear hinge-loss model on the indicators times their ratios, fitted by dual
-   coordinate descent in one task, and a logistic curve through the margins of a quarter that the
-   fit does not see, weighted as the classes are in all labelled rows.
+   their id, and no more than have SAMPLE_FEATURES n-grams), a linear hinge-loss model on the
+   indicators times their ratios, fitted by dual coordinate descent in one task, and a logistic
+   curve through the margins of a quarter that the fit does not see (of all rows, where a class has
+   too few to spare some), weighted as the classes are in all labelled rows.
 4. Every text is scored by the model.
 
 Labels, source, language and ids are never features; ids only choose rows.
@@ -39,6 +40,9 @@ ship(__name__)
 FEATURES = 1 << 16
 #: Labelled rows per class that the hinge-loss model is fitted to, at most.
 SAMPLE = 4000
+#: Features of the rows that the model is fitted to, in all, at most (some 16 bytes each); beyond it,
+#: rows are only taken for a class that has FEWEST at most.
+SAMPLE_FEATURES, FEWEST = 20_000_000, 4
 #: Labels are broadcast up to this many (some 50 bytes each), beyond that texts are shuffled.
 BROADCAST_LABELS = 1_000_000
 #: Bytes of a text whose n-grams make one set, at most; pairs across a cut are kept. Words and their
@@ -251,23 +255,33 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
     The fit is one task over at most ``2 * most`` rows; its result is one row of FEATURES weights.
     """
     ratio, totals = ratios(rows)
-    if min(totals) < 4:
+    if not min(totals):
         share = totals[1] / sum(totals) if sum(totals) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(FEATURES), 0.0, 1.0, math.log(share / (1 - share)))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, classes = [], []
+        grams, classes, size, taken = [], [], 0, [0, 0]
         for batch in batches:
-            classes += batch.column(0).to_pylist()
-            for features, shares in zip(batch.column(1), batch.column(2)):
-                features = np.asarray(features.values, np.int32)
+            for label, features, shares in zip(*batch.columns):
+                label = label.as_py()
+                size += len(features)
+                if size > SAMPLE_FEATURES and taken[label] >= FEWEST:
+                    size -= len(features)
+                    continue
+                taken[label] += 1
+                classes.append(label)
+                features = np.array(features.values, np.int32)
                 # A view of one 1 where all are: no second array for each row.
                 ones = np.broadcast_to(np.float32(1), len(features))
-                grams.append((features, np.asarray(shares.values, np.float32) if len(shares) else ones))
+                grams.append((features, np.array(shares.values, np.float32) if len(shares) else ones))
         classes = np.array(classes)
         checked = np.arange(len(classes)) % 4 == 3
-        fitted = np.flatnonzero(~checked)
+        if min(len(set(classes[checked])), len(set(classes[~checked]))) < 2:
+            checked[:] = True
+            fitted = np.flatnonzero(checked)
+        else:
+            fitted = np.flatnonzero(~checked)
         weights, constant = dual_coordinate_descent(
             [grams[at] for at in fitted], 2.0 * classes[fitted] - 1, ratio
         )
