@@ -42,7 +42,7 @@ ship(__name__)
 
 LONGEST = 3
 #: Bytes of text that are looked at together.
-WINDOW = 2_000_000
+WINDOW = 1_000_000
 #: Bits of the number of a place in a table of fingerprints: 16 MB.
 TABLE_BITS = 27
 UNDEFINED = "und"
