@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -27,6 +28,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='llm-')}"
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
