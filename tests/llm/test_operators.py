@@ -231,6 +231,46 @@ def test_near_duplicates_of_repeated_rows(spark, monkeypatch):
     assert len(got) == len(again)
 
 
+def _two_groups(words: int, copies: int) -> list[tuple[int, str]]:
+    """``copies`` edited copies each of two texts whose similarity is just below 0.8."""
+    rnd = random.Random(words)
+    base = [f"w{at}" for at in range(words)]
+    far = list(base)
+    for at in rnd.sample(range(0, words, 6), int(words * 0.024)):
+        far[at] = f"f{at}"
+    found = []
+    for at in range(2 * copies):
+        found.append(list(base if at % 2 else far))
+        for place in rnd.sample(range(words), rnd.randint(0, 3)):
+            found[-1][place] = f"t{at}"
+    return [(at, " ".join(edited)) for at, edited in enumerate(found)]
+
+
+def test_near_duplicates_far_from_their_hub_meet_in_few_pairs(spark, monkeypatch):
+    """Both groups are in the same large buckets, whose hub is in one of them."""
+    monkeypatch.setattr(neardup, "LARGE", 8)
+    examined, pruned = [], neardup.pruned
+
+    def counted(pairs, percent):
+        examined.append(pairs.count())
+        return pruned(pairs, percent)
+
+    monkeypatch.setattr(neardup, "pruned", counted)
+    sums = []
+    for copies in (15, 60):
+        examined.clear()
+        rows = _two_groups(500, copies)
+        same(neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect(), brute.near(rows, 85))
+        sums.append(sum(examined))
+    assert sums[1] <= 5 * sums[0], sums
+
+
+def test_near_duplicates_of_long_texts_far_from_their_hub(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LARGE", 8)
+    rows = _two_groups(20_000, 12)
+    same(neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect(), brute.near(rows, 85))
+
+
 def test_near_duplicates_of_ids_with_several_texts(spark, monkeypatch):
     monkeypatch.setattr(neardup, "LARGE", 4)
     rnd = random.Random(9)

@@ -11,16 +11,17 @@ Two texts are linked if their sets of five-word shingles have a Jaccard similari
    largest: in a group of edited copies that is the original. That is one pair per member.
 4. A pair's signatures are compared batch by batch, and the pair goes as soon as the posterior
    probability that it reaches the threshold falls below MISS. What remains is verified on the sets.
-5. Links make components. In buckets that still hold several, pairs of different components are
-   compared the same way, but only those that can reach the threshold at all: a shingle that no
-   other member of such buckets has can't be in an intersection, which bounds the similarity of
-   each pair exactly.
-6. Members of large buckets (LARGE) are not paired like that. What a text does not have in common
-   with its hub, in either direction, is a small set in a group of edited copies; two such sets
-   differ exactly as the texts do, and two texts of different components can only be similar enough
-   if the sets share one of their rarest elements. They meet on those, exactly, in one join that
-   puts out links only.
-7. Components of all links are the result.
+5. Links make components. Buckets that still hold several get a second hub, the best connected
+   member outside the first hub's component: a group far from the first hub gathers around it.
+6. In buckets that hold several even then, pairs of different components are compared the same way,
+   but only those that can reach the threshold at all: a shingle that no other member of such
+   buckets has can't be in an intersection, which bounds the similarity of each pair exactly.
+7. Members of large buckets (LARGE) are not paired like that. What a text does not have in common
+   with its bucket's hub, in either direction, is a small set in a group of edited copies; two such
+   sets differ exactly as the texts do, and two texts of different components can only be similar
+   enough if the sets share one of their rarest elements. Ids meet on those; how many they share, and
+   how many could follow, bounds a pair's similarity before its signatures and sets are fetched.
+8. Components of all links are the result.
 
 No step brings a bucket or a component into one task, and none pairs the members of a bucket that
 are already linked. Words are maximal runs without ASCII white space, after lower-casing A to Z;
@@ -34,7 +35,7 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,8 @@ MISS = 1e-6
 LARGE = 64
 #: Shingles permuted at once: bounds a task's memory whatever a text's length.
 CHUNK = 512
+#: Bytes of sets that go into one Arrow batch.
+FILL = 4 << 20
 SEED = 20240229
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
@@ -207,20 +210,39 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _filled(rows: Iterable[tuple], columns: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """``rows`` in batches that end when their last column holds FILL bytes."""
+    schema = pa.schema(list(columns.items()))
+
+    def batch() -> pa.RecordBatch:
+        arrays = [pa.array(column, field.type) for column, field in zip(zip(*part), schema)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    part, held = [], 0
+    for row in rows:
+        part.append(row)
+        held += memoryview(row[-1]).nbytes
+        if held >= FILL:
+            yield batch()
+            part, held = [], 0
+    if part:
+        yield batch()
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """``id`` and ``hashes`` (the set), one row of each class in ``wanted`` (``id``, ``rep``,
     ``hash``, ``set``), stored."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                found = shingles(batch.column(1)[at].as_py()).tobytes()
-                # Different texts of one document can only meet here if their hashes collide.
-                if xxhash.xxh3_128_digest(found) == batch.column(2)[at].as_py():
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(at, 1), pa.array([found], pa.binary())],
-                        ["id", "hashes"],
-                    )
+        def rows():
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    found = shingles(batch.column(1)[at].as_py()).tobytes()
+                    # Different texts of one document can only meet here if their hashes collide.
+                    if xxhash.xxh3_128_digest(found) == batch.column(2)[at].as_py():
+                        yield batch.column(0)[at].as_py(), found
+
+        yield from _filled(rows(), {"id": pa.int64(), "hashes": pa.binary()})
 
     found = stored(
         docs.select(F.col(key).alias("rep"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
@@ -277,89 +299,117 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
         .join(classes.select("id", "rep", "hash", "set"), "id")
     )
     sets = _sets(docs, ids, key, text)
-    hubs = stored(
-        members.join(ids.select("id", "crowd"), "id")
-        .groupBy("band", "value")
-        .agg(F.max(F.struct("crowd", "id")).alias("hub"))
-        .select("band", "value", F.col("hub.id").alias("v"))
+    alone = members.withColumn("label", F.col("id"))
+    hubs = stored(_hubs(alone, ids))
+    stars = stored(_stars(alone, hubs))
+    found = stored(verified(stored(pruned(_with(stars, classes), percent)), sets, percent))
+    labels = stored(components(found))
+    unsettled = stored(_mixed(members, labels))
+
+    of_hub = hubs.join(labels, F.col("v") == F.col("node"), "left").select(
+        "band", "value", F.coalesce("component", "v").alias("of")
     )
-    stars = stored(
-        members.join(hubs, ["band", "value"])
-        .where("id <> v")
-        .select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v"))
-        .distinct()
-    )
-    first = stored(verified(stored(pruned(_with(stars, classes), percent)), sets, percent))
-    labels = stored(components(first))
-
-    # Buckets of several components, and what their members can still reach.
-    labelled = stored(
-        members.join(labels, F.col("id") == F.col("node"), "left").select(
-            "band", "value", "id", "n", F.coalesce("component", "id").alias("label")
-        )
-    )
-    mixed = stored(
-        labelled.groupBy("band", "value")
-        .agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
-        .where("_least <> _most")
-        .select("band", "value")
-    )
-    unsettled = stored(labelled.join(mixed, ["band", "value"]))
-    main = stored(_main_hubs(unsettled, hubs))
+    outside = unsettled.join(of_hub, ["band", "value"]).where("label <> of").drop("of")
+    more = stored(_stars(unsettled, stored(_hubs(outside, ids))).join(stars, ["u", "v"], "left_anti"))
+    stars = stars.union(more)
+    gathered = stored(verified(stored(pruned(_with(more, classes), percent)), sets, percent))
+    if not gathered.isEmpty():
+        found = found.union(gathered)
+        labels = stored(components(found))
+        unsettled = stored(_mixed(members, labels))
+
+    # What the members of buckets of several components can still reach.
     around = stored(unsettled.select("id").distinct())
     own = stored(_own(sets.join(around, "id")))
     # |A & B| is at most what A shares with anybody, and at least this share of |A| + |B|.
     share = percent / (100 + percent)
     most = F.floor((F.col("n") - F.coalesce("own", F.lit(0))) / share + 1e-6) - F.col("n")
     open_ = stored(
-        unsettled.join(own, "id", "left")
-        .join(main.select("id", "hub"), "id", "left")
-        .select("band", "value", "id", "n", "label", "hub", most.cast("bigint").alias("most"))
+        unsettled.join(own, "id", "left").select(
+            "band", "value", "id", "n", "label", most.cast("bigint").alias("most")
+        )
     )
     # Buckets without a small enough other member for anybody have no pair to look at.
     reach = open_.groupBy("band", "value").agg(F.max("most").alias("_most"), F.min("n").alias("_n"))
     reachable = stored(
-        open_.join(stored(reach), ["band", "value"]).where("n <= _most AND most >= _n")
+        open_.join(stored(reach), ["band", "value"]).where("n <= _most AND most >= _n").drop("_most", "_n")
     )
-    a, b = reachable.alias("a"), reachable.alias("b")
-    crossed = stored(
+    crowds = stored(
+        reachable.groupBy("band", "value")
+        .agg(F.count(F.lit(1)).alias("members"))
+        .join(hubs.select("band", "value", F.col("v").alias("hub")), ["band", "value"])
+    )
+    small = reachable.join(crowds.where(F.col("members") <= LARGE).select("band", "value"), ["band", "value"])
+    a, b = small.alias("a"), small.alias("b")
+    crossed = (
         a.join(
             b,
             (F.col("a.band") == F.col("b.band"))
             & (F.col("a.value") == F.col("b.value"))
             & (F.col("a.id") > F.col("b.id"))
             & (F.col("a.label") != F.col("b.label"))
-            & F.coalesce(F.col("a.hub") != F.col("b.hub"), F.lit(True))
             & (F.col("a.n") <= F.col("b.most"))
             & (F.col("b.n") <= F.col("a.most"))
             & (100 * F.col("a.n") >= percent * F.col("b.n"))
             & (100 * F.col("b.n") >= percent * F.col("a.n")),
-        )
-        .select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
-        .join(stars, ["u", "v"], "left_anti")
+        ).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+    )
+    # A member meets the others of each large bucket through that bucket's own hub.
+    main = stored(
+        reachable.join(crowds.where(F.col("members") > LARGE), ["band", "value"])
+        .where("id <> hub")
+        .select("id", "n", "label", "hub")
         .distinct()
     )
-    second = verified(stored(pruned(_with(crossed, classes), percent)), sets, percent)
-    found = first.union(second).union(_through_hubs(main, sets, percent))
+    rest = crossed.union(_through_hubs(main, sets, percent)).distinct().join(stars, ["u", "v"], "left_anti")
+    found = found.union(verified(stored(pruned(_with(stored(rest), classes), percent)), sets, percent))
     names = classes.select("id", "rep")
     u = names.select(F.col("id").alias("u"), F.col("rep").alias("_u"))
     v = names.select(F.col("id").alias("v"), F.col("rep").alias("_v"))
     return found.join(u, "u").join(v, "v").select(F.col("_u").alias("u"), F.col("_v").alias("v"))
 
 
-def _main_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    """``id``, ``n``, ``label`` and ``hub``, that of its largest bucket, of what large ones hold."""
-    sizes = members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members"))
-    large = stored(sizes.where(F.col("members") > LARGE).join(hubs, ["band", "value"]))
+def _hubs(members: DataFrame, ids: DataFrame) -> DataFrame:
+    """Per bucket of ``members`` its hub ``v``, the member with the largest ``crowd`` in all its
+    buckets, and the component ``of`` the hub."""
+    best = F.max(F.struct("crowd", "id", "label"))
+    return (
+        members.join(ids.select("id", "crowd"), "id")
+        .groupBy("band", "value")
+        .agg(best.alias("hub"))
+        .select("band", "value", F.col("hub.id").alias("v"), F.col("hub.label").alias("of"))
+    )
+
+
+def _stars(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """One pair (``u`` > ``v``) for each member and hub of its buckets in different components."""
     return (
-        members.join(large, ["band", "value"])
-        .groupBy("id", "n", "label")
-        .agg(F.max(F.struct("members", "v"))["v"].alias("hub"))
+        members.join(hubs, ["band", "value"])
+        .where("label <> of")
+        .select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v"))
+        .distinct()
     )
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``members`` of buckets of several components, with their component ``label``."""
+    labelled = stored(
+        members.join(labels, F.col("id") == F.col("node"), "left").select(
+            "band", "value", "id", "n", F.coalesce("component", "id").alias("label")
+        )
+    )
+    mixed = (
+        labelled.groupBy("band", "value")
+        .agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
+        .where("_least <> _most")
+        .select("band", "value")
+    )
+    return labelled.join(stored(mixed), ["band", "value"])
+
+
 def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components among texts (``id``, ``n``, ``label``) of one ``hub``.
+    """Pairs (``u``, ``v``) that may be links between different components among texts (``id``,
+    ``n``, ``label``) of one ``hub``; all links are among them.
 
     With D the symmetric difference of a text and the hub, |A ^ B| = |Da ^ Db|, so a pair is a link
     if |Da ^ Db| <= k (|A| + |B|), k = (100 - percent) / (100 + percent). One of two texts of
@@ -367,44 +417,44 @@ def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     partner at least half of what its |D| exceeds the hub's bound by, if it is no link itself, and
     at least (1 - k) / 2 of its elements, if the partner is none. So the two share one of the first
     elements of each, in any common order; with the rarest first, few texts meet.
+
+    The join has ids, sizes and places only. In a common order, the elements that a pair shares are
+    those it met on, and others after the last of them in both, which bounds |Da & Db|.
     """
 
     def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(c)[at].as_py(), np.int64) for c in (4, 5))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(c).slice(at, 1) for c in range(4)),
-                        pa.array([len(b)], pa.int64()),
-                        pa.array([np.setxor1d(a, b, assume_unique=True)], pa.list_(pa.int64())),
-                    ],
-                    ["id", "n", "label", "hub", "n_hub", "diff"],
-                )
-
-    kind = main.schema["id"].dataType.simpleString()
+        def rows():
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    known = [batch.column(c)[at].as_py() for c in range(4)]
+                    a, b = (np.frombuffer(batch.column(c)[at].as_py(), np.int64) for c in (4, 5))
+                    yield *known, len(b), np.setxor1d(a, b, assume_unique=True)
+
+        names = ("id", "n", "label", "hub", "n_hub")
+        yield from _filled(rows(), dict.fromkeys(names, pa.int64()) | {"diff": pa.list_(pa.int64())})
+
     of = sets.select("id", F.col("hashes").alias("hashes_u"))
     hub = sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hashes_v"))
     k = (100 - percent) / (100 + percent)
-    size = F.size("diff")
-    beyond = (size - k * (F.col("n") + F.col("n_hub"))) / 2
-    half = F.ceil(size * (1 - k) / 2 - 1e-9)
-    shared = F.greatest(F.lit(1), F.when(beyond > 0, F.ceil(beyond - 1e-9)).otherwise(half))
+    beyond = (F.col("size") - k * (F.col("n") + F.col("n_hub"))) / 2
+    half = F.greatest(F.lit(1), F.ceil(F.col("size") * (1 - k) / 2 - 1e-9))
+    shared = F.when(beyond > 0, F.greatest(F.lit(1), F.ceil(beyond - 1e-9))).otherwise(half)
     texts = stored(
-        main.where("id <> hub")
-        .join(of, "id")
+        main.join(of, "id")
         .join(hub, "hub")
         .select("id", "n", "label", "hub", "hashes_u", "hashes_v")
         .mapInArrow(
             differences,
-            f"id {kind}, n bigint, label {kind}, hub {kind}, n_hub bigint, diff array<bigint>",
+            "id bigint, n bigint, label bigint, hub bigint, n_hub bigint, diff array<bigint>",
         )
-        .withColumn("first", size - shared + 1)
+        .withColumn("size", F.size("diff"))
+        .withColumn("first", F.col("size") - shared + 1)
         # Between two texts that are no links of the hub, the second bound holds for both.
         .withColumn("linked", beyond <= 0)
-        .withColumn("first_unlinked", size - F.greatest(F.lit(1), half) + 1)
+        .withColumn("first_unlinked", F.col("size") - half + 1)
     )
-    elements = texts.select("hub", "id", "first", F.explode("diff").alias("element"))
+    about = ("hub", "id", "n", "label", "size", "first", "linked", "first_unlinked")
+    elements = texts.select(*about, F.explode("diff").alias("element"))
     counts = stored(elements.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("texts")))
     rarest = Window.partitionBy("hub", "id").orderBy("texts", "element")
     firsts = stored(
@@ -412,16 +462,13 @@ def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("place", F.row_number().over(rarest))
         # An element that one text alone has takes its place, but meets nothing.
         .where("place <= first AND texts > 1")
-        .select("hub", "id", "element", "place")
-        .join(texts.drop("n_hub", "first"), ["hub", "id"])
-        .withColumn("early", F.col("place") <= F.col("first_unlinked"))
-        .drop("place", "first_unlinked")
+        .select(
+            *("hub", "element", "id", "n", "label", "size", "linked", "place"),
+            (F.col("place") <= F.col("first_unlinked")).alias("early"),
+        )
     )
     a, b = firsts.alias("a"), firsts.alias("b")
-    both = F.size(F.array_intersect(F.col("a.diff"), F.col("b.diff")))
-    apart = F.size(F.col("a.diff")) + F.size(F.col("b.diff")) - 2 * both
-    total = F.col("a.n") + F.col("b.n")
-    return (
+    met = (
         a.join(
             b,
             (F.col("a.hub") == F.col("b.hub"))
@@ -429,32 +476,39 @@ def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             & (F.col("a.id") > F.col("b.id"))
             & (F.col("a.label") != F.col("b.label"))
             & (F.col("a.linked") | F.col("b.linked") | (F.col("a.early") & F.col("b.early")))
-            & (100 * (total - apart) >= percent * (total + apart)),
+            & (100 * F.col("a.n") >= percent * F.col("b.n"))
+            & (100 * F.col("b.n") >= percent * F.col("a.n")),
+        )
+        .groupBy("a.hub", F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+        .agg(
+            F.count(F.lit(1)).alias("met"),
+            F.first(F.col("a.size") + F.col("b.size")).alias("sizes"),
+            F.first(F.col("a.n") + F.col("b.n")).alias("total"),
+            # The fewest elements that come after the last one that both have.
+            F.least(
+                F.min(F.col("a.size") - F.col("a.place")), F.min(F.col("b.size") - F.col("b.place"))
+            ).alias("after"),
         )
-        .select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
-        .distinct()
     )
+    apart = F.col("sizes") - 2 * (F.col("met") + F.col("after"))
+    return met.where(100 * (F.col("total") - apart) >= percent * (F.col("total") + apart)).select("u", "v")
 
 
 def _own(sets: DataFrame) -> DataFrame:
     """``id`` and ``own``, how many shingles no other of the ``sets`` has."""
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                hashes = np.frombuffer(batch.column(1)[at].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([batch.column(0)[at].as_py()] * len(hashes), batch.column(0).type),
-                        pa.array(hashes),
-                    ],
-                    ["id", "shingle"],
-                )
-
-    kind = sets.schema["id"].dataType.simpleString()
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    yield batch.column(0)[at].as_py(), np.frombuffer(batch.column(1)[at].as_py(), np.int64)
+
+        yield from _filled(rows(), {"id": pa.int64(), "shingles": pa.list_(pa.int64())})
+
     return (
         sets.select("id", "hashes")
-        .mapInArrow(explode, f"id {kind}, shingle bigint")
+        .mapInArrow(spread, "id bigint, shingles array<bigint>")
+        .select("id", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
         .agg(F.min("id").alias("id"), F.max("id").alias("_other"))
         .where("id = _other")
