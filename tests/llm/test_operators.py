@@ -256,13 +256,12 @@ def test_near_duplicates_far_from_their_hub_meet_in_few_pairs(spark, monkeypatch
         return pruned(pairs, percent)
 
     monkeypatch.setattr(neardup, "pruned", counted)
-    sums = []
     for copies in (15, 60):
         examined.clear()
         rows = _two_groups(500, copies)
         same(neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect(), brute.near(rows, 85))
-        sums.append(sum(examined))
-    assert sums[1] <= 5 * sums[0], sums
+        # A few hubs per member; all pairs of the larger table would be 7,140.
+        assert sum(examined) <= 4 * len(rows), examined
 
 
 def test_near_duplicates_of_long_texts_far_from_their_hub(spark, monkeypatch):
