@@ -370,6 +370,7 @@ def report_selects() -> dict[str, str]:
         "commit_trend_typed": _commit_trend(),
         "commit_trend_zoneless": _commit_trend(),
         "deepest_stage_kpis": _deepest_stage_kpis(),
+        "merged_stage_kpis": _deepest_stage_kpis(),
         "build_tool_share": _build_tool_share(),
         "build_tool_version_labels": f"""
             SELECT *, build_tool || ' ' || tool_version AS label

@@ -17,6 +17,7 @@ from tracetally.operators.rules import labelled, under_any
 from tracetally.plans import reports
 from tracetally.plans.rollups import refresh, rollup
 from tracetally.schema import TRACE
+from tracetally.sources.latest import merge_latest, open_latest
 from tracetally.sources.sql import register_reports
 from tracetally.sources.store import within
 from tracetally.sources.traces import conform, deepest_stage
@@ -82,6 +83,14 @@ def _rolled_up(trace: DataFrame, report: str, grain: str = "month") -> DataFrame
     return rollup(trace.sparkSession, report, folder, grain)
 
 
+def _merged_kpis(trace: DataFrame) -> DataFrame:
+    """The KPIs of a stored trace into which the run files come first, then the commit files."""
+    folder = working_folder(trace.sparkSession)
+    merge_latest(conform(trace.drop(*_COMMIT_AND_LATER)), folder, "run", buckets=16)
+    merge_latest(conform(trace), folder, "commit", buckets=16)
+    return reports.dashboard_kpis_summary(open_latest(trace.sparkSession, folder))
+
+
 def _by_sql(trace: DataFrame, call: str) -> DataFrame:
     register_reports(trace, "trace")
     return trace.sparkSession.sql(f"SELECT * FROM {call}")
@@ -128,6 +137,7 @@ def over_any_trace() -> dict[str, Callable[[DataFrame], DataFrame]]:
         "deepest_stage_kpis": lambda t: reports.dashboard_kpis_summary(
             deepest_stage(conform(t).unionByName(conform(t.drop(*_COMMIT_AND_LATER))))
         ),
+        "merged_stage_kpis": _merged_kpis,
         "build_tool_share": lambda t: shaping.build_tool_share(reports.build_tool_summary(t)),
         "build_tool_version_labels": lambda t: shaping.build_tool_version_labels(
             reports.build_tool_versions(t)

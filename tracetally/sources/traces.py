@@ -337,7 +337,7 @@ def _stage_depth() -> Column:
 
 
 #: What the rows of one repository in one run share.
-_RUN = ("origin", "path", "branch", "developer", "buildId", "runId")
+RUN = ("origin", "path", "branch", "developer", "buildId", "runId")
 
 
 def _stage_position(column: str) -> int:
@@ -349,21 +349,21 @@ def _stage_position(column: str) -> int:
 
 
 def _once(rows: DataFrame) -> DataFrame:
-    """One row of those that agree in all columns of :data:`_RUN` and of the stages they reached.
+    """One row of those that agree in all columns of :data:`RUN` and of the stages they reached.
 
     The others are columns of later stages and of none; of these, the row with the largest stays.
     Every value travels once: either in the key or in what is kept of the group.
     """
-    staged = {name: at for name in rows.columns if name not in _RUN and (at := _stage_position(name))}
-    others = [name for name in rows.columns if name not in _RUN and name not in staged]
+    staged = {name: at for name in rows.columns if name not in RUN and (at := _stage_position(name))}
+    others = [name for name in rows.columns if name not in RUN and name not in staged]
     rows = rows.withColumn("_depth", _stage_depth())
     reached = {name: F.when(F.col("_depth") >= at, F.col(name)) for name, at in staged.items()}
     later = [F.when(F.col("_depth") < at, F.col(name)).alias(name) for name, at in staged.items()]
-    kept = rows.groupBy(*_RUN, *[value.alias(name) for name, value in reached.items()]).agg(
+    kept = rows.groupBy(*RUN, *[value.alias(name) for name, value in reached.items()]).agg(
         F.max(F.struct(*later, *others)).alias("_rest")
     )
     return kept.select(
-        *_RUN,
+        *RUN,
         *[F.coalesce(F.col(name), F.col(f"_rest.{name}")).alias(name) for name in staged],
         *[F.col(f"_rest.{name}").alias(name) for name in others],
     )
@@ -384,13 +384,13 @@ def deepest_stage(trace: DataFrame) -> DataFrame:
     """
     with_run = trace.where(F.col("runId").isNotNull())
     depths = (
-        with_run.groupBy(*_RUN)
+        with_run.groupBy(*RUN)
         .agg(F.min(_stage_depth()).alias("_least"), F.max(_stage_depth()).alias("_deepest"))
         .where("_least < _deepest")
-        .select(*[F.col(name).alias(f"_{name}") for name in _RUN], "_deepest")
+        .select(*[F.col(name).alias(f"_{name}") for name in RUN], "_deepest")
     )
     same_run = reduce(
-        and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in _RUN if name != "runId"]
+        and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in RUN if name != "runId"]
     )
     same_run &= F.col("runId") == F.col("_runId")
     repeated = same_run & (_stage_depth() < F.col("_deepest"))
