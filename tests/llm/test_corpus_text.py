@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import brute
@@ -239,6 +240,22 @@ def test_a_text_scores_alike_around_the_size_of_a_window(spark):
     assert max(got[at] for at in range(4)) - min(got[at] for at in range(4)) < 0.02 and got[0] > 0.9
 
 
+def test_features_are_different_words_shapes_and_pairs():
+    rnd = random.Random(3)
+    texts = ["", " ", "\n\n", "a a", "x" * 300, "one\n\none\n", "ab\nabc\nab", "é \u3000ñ\tb\x0bb"]
+    texts += ["".join(rnd.choices("aB1#é \n\t", k=rnd.randint(1, 900))) for _ in range(300)]
+    for text in texts:
+        features, shares = quality.ngrams(text)
+        words, lines = text.encode().split(), [line for line in text.encode().split(b"\n") if line]
+        assert (0 in features) == any(a == b for a, b in zip(words, words[1:]))
+        assert (1 in features) == any(a == b for a, b in zip(lines, lines[1:]))
+        shapes = [re.sub(r"(.)\1+", r"\1", word.translate(quality._SHAPE).decode()) for word in words]
+        kinds = [words, list(zip(words, words[1:])), shapes, list(zip(shapes, shapes[1:]))]
+        different = sum(len(set(kind)) for kind in kinds) + sum(at in features for at in (0, 1))
+        assert different - 3 <= len(features) <= different  # two may share a number
+        assert (shares == 1).all()
+
+
 def test_quality_query_on_held_out_rows(spark):
     got = queries.queries()["op4_quality"](spark, SF_DIR).collect()
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -2,9 +2,10 @@
 
 1. Each text becomes the set of its n-grams, hashed to FEATURES numbers: words and pairs of words,
    word shapes (letter case, digits and punctuation, runs shortened) and pairs of shapes, and two
-   marks: a word that repeats the one before, a line that repeats the one before. A text longer
-   than WINDOW is cut into equal windows, and each number counts by the share of windows that have
-   it: one set of a text of some MB would hold nearly all numbers, whatever the text says.
+   marks: a word that repeats the one before, a line that repeats the one before. A text is cut
+   into the fewest equal windows of at most WINDOW bytes, and each number counts by the share of
+   windows that have it: in one set of a text of some MB the few n-grams that tell, such as a shape,
+   would drown among all words that came up once.
 2. Over all labelled rows, the log ratio of each n-gram's smoothed frequency between the classes.
 3. On a bounded sample of the labelled rows (``most`` per class, those with the smallest hash of
    their id, and no more than have SAMPLE_FEATURES n-grams), a linear hinge-loss model on the
@@ -37,7 +38,9 @@ from tracetally.llm.common import ship, stored, without
 
 ship(__name__)
 
-FEATURES = 1 << 16
+#: Numbers that n-grams are hashed to; those of a window set less than a hundredth of them.
+BITS = 22
+FEATURES = 1 << BITS
 #: Labelled rows per class that the hinge-loss model is fitted to, at most.
 SAMPLE = 4000
 #: Features of the rows that the model is fitted to, in all, at most (some 16 bytes each); beyond it,
@@ -45,8 +48,7 @@ SAMPLE = 4000
 SAMPLE_FEATURES, FEWEST = 20_000_000, 4
 #: Labels are broadcast up to this many (some 50 bytes each), beyond that texts are shuffled.
 BROADCAST_LABELS = 1_000_000
-#: Bytes of a text whose n-grams make one set, at most; pairs across a cut are kept. Words and their
-#: pairs, some 11,000 of each, set less than a third of the FEATURES numbers.
+#: Bytes of a text whose n-grams make one set, at most; pairs across a cut are kept.
 WINDOW = 1 << 16
 #: Shares are multiples of this, so that their sums are exact in any order.
 SHARE = 2.0**-20
@@ -77,7 +79,7 @@ class Model(NamedTuple):
 def _margin(
     features: np.ndarray, shares: np.ndarray, weights: np.ndarray, constant: float
 ) -> float:
-    return float((weights[features] * shares).sum() / math.sqrt(shares.sum(dtype=float) + 1) + constant)
+    return float((weights[features] * shares).sum(dtype=float) / math.sqrt(shares.sum(dtype=float) + 1) + constant)
 
 
 def _grams(words: list[bytes], salt: int) -> np.ndarray:
@@ -85,7 +87,7 @@ def _grams(words: list[bytes], salt: int) -> np.ndarray:
     one ^= np.uint64(salt)
     two = one[:-1] * np.uint64(0x9E3779B97F4A7C15) + (one[1:] ^ (one[1:] >> np.uint64(31)))
     both = np.concatenate([one, two]) * np.uint64(0xBF58476D1CE4E5B9)
-    return (both >> np.uint64(48)).astype(np.uint16)
+    return (both >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 def _windows(whole: bytes) -> Iterator[bytes]:
@@ -105,8 +107,8 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The sorted different features of a text and the share of its windows that have each, in time
     linear in its length."""
     whole = (text or "").encode()
-    seen = np.zeros(FEATURES if len(whole) > WINDOW else 0, np.int64)
-    found, tail, line, parts = np.empty(0, np.uint16), [], None, 0
+    seen = np.zeros(FEATURES if len(whole) > WINDOW else 0, np.int32)
+    found, tail, line, parts = np.empty(0, np.int32), [], None, 0
     for piece in _windows(whole):
         # A word cut in two by a piece's end is two words; the pair across it is kept.
         words = tail + piece.split()
@@ -121,14 +123,14 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
                 break
             line = now or line
         grams = _grams(words, 0x51ED270B), _grams(shape.tobytes().split(), 0x2545F491)
-        found = np.unique(np.concatenate([*grams, np.array(marks, np.uint16)]))
+        found = np.unique(np.concatenate([*grams, np.array(marks, np.int32)]))
         if len(seen):
             seen[found] += 1
         tail = words[-1:]
         parts += 1
     if parts < 2:
         return found, np.ones(len(found), np.float32)
-    found = np.flatnonzero(seen).astype(np.uint16)
+    found = np.flatnonzero(seen).astype(np.int32)
     return found, (np.maximum(np.rint(seen[found] / parts / SHARE), 1) * SHARE).astype(np.float32)
 
 
@@ -146,7 +148,7 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             grams = [ngrams(value.as_py()) for value in batch.column(2)]
-            features = [f.astype(np.int32) for f, _ in grams]
+            features = [f for f, _ in grams]
             shares = [s if (s < 1).any() else [] for _, s in grams]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -174,29 +176,30 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
 
 
 def ratios(rows: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Log-count ratio of every feature over all ``rows``, and the number of rows per class.
+    """Log-count ratio of every feature seen over all ``rows``, and the number of rows per class.
 
-    At most FEATURES counts reach the driver.
+    At most FEATURES pairs of counts reach the driver, some 20 bytes each.
     """
     seen = dict(rows.groupBy("label").count().collect())
     totals = [seen.get(0, 0), seen.get(1, 0)]
-    counts = np.full((2, FEATURES), SMOOTHING)
     whole = rows.where(F.size("shares") == 0).select(
         "label", F.explode("features").alias("feature"), F.lit(1.0).alias("share")
     )
     parts = rows.where(F.size("shares") > 0).select(
         "label", F.inline(F.arrays_zip(F.col("features"), F.col("shares").alias("share")))
     )
-    for feature, label, count in (
+    of = [F.when(F.col("label") == label, F.col("share").cast("double")).otherwise(0.0) for label in (0, 1)]
+    counted = (
         whole.union(parts.toDF("label", "feature", "share"))
-        .groupBy("feature", "label")
-        .agg(F.sum(F.col("share").cast("double")).alias("count"))
-        .select("feature", "label", "count")
-        .toLocalIterator()
-    ):
-        counts[label, feature] += count
+        .groupBy("feature")
+        .agg(F.sum(of[0]).alias("n0"), F.sum(of[1]).alias("n1"))
+        .toArrow()
+    )
+    counts = np.stack([counted.column(name).to_numpy() for name in ("n0", "n1")]) + SMOOTHING
     shares = counts / counts.sum(axis=1, keepdims=True)
-    return np.log(shares[1] / shares[0]), totals
+    ratio = np.zeros(FEATURES, np.float32)
+    ratio[counted.column("feature").to_numpy()] = np.log(shares[1] / shares[0])
+    return ratio, totals
 
 
 def dual_coordinate_descent(
@@ -208,7 +211,7 @@ def dual_coordinate_descent(
     between 0 and COST, in a new random order each epoch.
     """
     rows = [row for row, _ in grams]
-    values = [ratio[row] * shares / math.sqrt(shares.sum(dtype=float) + 1) for row, shares in grams]
+    values = [ratio[row].astype(float) * shares / math.sqrt(shares.sum(dtype=float) + 1) for row, shares in grams]
     norms = np.array([float(v @ v) + 1 for v in values])
     dual = np.zeros(len(rows))
     weights, constant = np.zeros(FEATURES), 0.0
@@ -252,13 +255,14 @@ def logistic_curve(margins: np.ndarray, truth: np.ndarray, weight: np.ndarray) -
 def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
     """The model from labelled ``rows`` (``id``, ``label``, ``features``, ``shares``).
 
-    The fit is one task over at most ``2 * most`` rows; its result is one row of FEATURES weights.
+    The fit is one task over at most ``2 * most`` rows; its result is one row with the weights of
+    the features that these have.
     """
     ratio, totals = ratios(rows)
     if not min(totals):
         share = totals[1] / sum(totals) if sum(totals) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(np.zeros(FEATURES), 0.0, 1.0, math.log(share / (1 - share)))
+        return Model(np.zeros(FEATURES, np.float32), 0.0, 1.0, math.log(share / (1 - share)))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, classes, size, taken = [], [], 0, [0, 0]
@@ -291,8 +295,14 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
         here = np.array([(truth == c).sum() for c in (0, 1)])
         weight = np.array(totals) / max(sum(totals), 1) / np.maximum(here / len(rest), 1e-9)
         slope, shift = logistic_curve(margins, truth, weight[classes[rest]])
+        used = np.flatnonzero(weights).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([weights]), pa.array([[constant, slope, shift]])], ["weights", "rest"]
+            [
+                pa.array([used], pa.list_(pa.int32())),
+                pa.array([weights[used].astype(np.float32)], pa.list_(pa.float32())),
+                pa.array([[constant, slope, shift]]),
+            ],
+            ["features", "weights", "rest"],
         )
 
     order = F.xxhash64(F.col("id").cast("string"))
@@ -306,10 +316,15 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
     ]
     # Sorted by a hash over both classes, so that each fourth row is a fair quarter of each.
     sample = chosen[0].union(chosen[1]).coalesce(1).sortWithinPartitions(order, "id")
-    model = sample.select("label", "features", "shares").mapInArrow(
-        train, "weights array<double>, rest array<double>"
-    ).first()
-    return Model(np.array(model.weights), *model.rest)
+    model = (
+        sample.select("label", "features", "shares")
+        .mapInArrow(train, "features array<int>, weights array<float>, rest array<double>")
+        .toArrow()
+    )
+    features, fitted, rest = (column.combine_chunks().flatten().to_numpy() for column in model.columns)
+    weights = np.zeros(FEATURES, np.float32)
+    weights[features] = fitted
+    return Model(weights, *map(float, rest))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
