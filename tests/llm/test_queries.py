@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import brute
 import duckdb
 import pytest
+import xxhash
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
@@ -46,6 +50,42 @@ def test_native_plan_has_no_python(spark, name):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
 
 
+def test_sharding_query(spark, tables):
+    docs = tables.execute("SELECT doc_id, text FROM documents").fetchall()
+    got = queries.queries()["op2_sharding"](spark, SF_DIR).toPandas()
+    assert list(got.columns) == ["doc_id", "size", "text_crc32", "law", "shard", "grown_shard", "slot"]
+    want = []
+    for doc, text in docs:
+        raw = (text or "").encode()
+        key = xxhash.xxh64_intdigest(struct.pack("<q", doc), 42)
+        want.append((doc, len(raw) + 1, zlib.crc32(raw), "key", brute.jump(key, 8), brute.jump(key, 9)))
+    assert sorted(got.drop(columns="slot").itertuples(index=False, name=None)) == sorted(want)
+    assert set(got["shard"]) == set(range(8))
+    for _, rows in got.groupby("shard"):
+        assert sorted(rows.slot) == list(range(len(rows)))
+
+
+def test_mixing_query(spark, tables):
+    docs = tables.execute("SELECT doc_id, source, text FROM documents").fetchall()
+    size = {doc: len(brute.WHITE_WORD.findall(text or "")) for doc, _, text in docs}
+    of = {}
+    for doc, source, _ in docs:
+        of[source] = of.get(source, 0) + size[doc]
+    want = brute.targets(of)
+    query = queries.queries()["op7_mixing"]
+    got = query(spark, SF_DIR).collect()
+    assert sorted(row.doc_id for row in got) == sorted(doc for doc, _, _ in docs)
+    source, taken = {doc: source for doc, source, _ in docs}, dict.fromkeys(of, 0)
+    for row in got:
+        assert row["size"] == size[row.doc_id] and row.source_size == of[source[row.doc_id]]
+        assert row.target == pytest.approx(want[source[row.doc_id]])
+        assert row.taken % max(row["size"], 1) == 0 and 0 <= row.taken <= 2 * row["size"]
+        taken[source[row.doc_id]] += row.taken
+    assert all(abs(taken[source] - want[source]) <= 0.01 * want[source] + 1 for source in of)
+    again = query(spark, SF_DIR).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+
+
 def test_near_duplicates_query(spark, tables):
     docs = tables.execute("SELECT doc_id, text FROM documents").fetchall()
     got = queries.queries()["op6_neardup"](spark, SF_DIR).collect()

@@ -119,8 +119,6 @@ def find(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     hits = (
         texts.select("blob", F.explode(F.array_compact(F.array(*wanted))).alias("hit"))
         .select("blob", "hit.*")
-        # A blob's text may have been read twice where rows repeat.
-        .dropDuplicates(["blob", "rule"])
         .select("blob", "rule", "version", "least", F.posexplode(F.arrays_zip("gap", "width", "part")))
     )
     so_far = Window.partitionBy("blob", "rule").orderBy("pos")
@@ -142,9 +140,9 @@ def scan(
 ) -> DataFrame:
     """``versions`` without its text, with ``blob`` and ``findings``, sorted by start, then rule.
 
-    Texts are shuffled once, by path, to pick the one that stands for its blob; nothing is
-    shuffled by blob but addresses and findings, and an address that many rows share is counted
-    before. Findings are joined to paths on the blob, where Spark splits a hot blob at run time.
+    Texts are shuffled once, by path and blob, to pick the one that stands for its blob; those that
+    repeat both are one before. Nothing is shuffled by blob but addresses and findings, and an
+    address that many rows share is counted before. Findings are joined to paths on the blob, where Spark splits a hot blob at run time.
     """
     slim = stored(without(versions, *ADDED).withColumn("blob", blob_of(F.col(text))).drop(text))
     names = [f"{r.kind}@{r.version}" for r in rules]
@@ -159,20 +157,19 @@ def scan(
         .join(seen, F.col("blob") == F.col("_blob"), "left")
         .select(
             F.col("blob").alias("_blob"),
-            F.col("_one.at").alias("_at"),
+            F.struct(F.col("_one.at").alias("at")).alias("_at"),
             F.array_except(
                 F.array(*[F.lit(n) for n in names]), F.coalesce("_seen", F.array().cast("array<string>"))
             ).alias("todo"),
         )
         .where(F.size("todo") > 0)
     )
+    # A struct with a NULL equals another, so paths meet by plain equality and move once.
     texts = (
-        versions.select(F.col(path).alias("_path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .withColumn("blob", blob_of(F.col("text")))
-        .join(
-            todo.hint("shuffle_hash"),
-            F.col("_path").eqNullSafe(F.col("_at")) & (F.col("blob") == F.col("_blob")),
-        )
+        versions.select(F.struct(F.col(path).alias("at")).alias("_path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        .groupBy("_path", blob_of(F.col("text")).alias("blob"))
+        .agg(F.first("text").alias("text"))
+        .join(todo.hint("shuffle_hash"), (F.col("_path") == F.col("_at")) & (F.col("blob") == F.col("_blob")))
         .select("blob", "text", "todo")
     )
     pairs = todo.select("_blob", F.explode("todo").alias("pair")).select(
