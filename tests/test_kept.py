@@ -14,7 +14,7 @@ from contract.trace_fixture import fixture_trace
 from tracetally.functions.columns import recipe_under
 from tracetally.operators.calendar import dense
 from tracetally.operators.rules import labelled, under_any
-from tracetally.plans import reports
+from tracetally.plans import reports, rollups
 from tracetally.plans.rollups import refresh, rollup
 from tracetally.schema import REPORTS
 from tracetally.sources.sql import RANKINGS, TRENDS, register_reports
@@ -43,6 +43,40 @@ def files(folder):
     }
 
 
+@pytest.mark.parametrize("name", ["build_success_trend", "dashboard_kpis_trend", "commit_trend"])
+def test_bitmaps_are_neither_shuffled_nor_sorted(spark, trace, tmp_path, name):
+    days = rollups._days(trace, name, str(tmp_path), None, False)
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    writing = plan[: plan.index("Exchange")]
+    assert "partial_bitmap_construct_agg" in writing
+    assert "Sort [" not in writing[: writing.index("partial_bitmap_construct_agg")]
+    assert plan.count("bitmap_construct_agg(") == 2
+
+
+def test_a_measure_counts_only_values_of_its_own(spark, tmp_path):
+    day = "2025-03-01 10:00:00"
+    rows = spark.createDataFrame(
+        [("o/a", S, day, "1"), ("o/b", "Failed", day, "1"), ("o/a", "Failed", day, "2"), (None, S, day, None)]
+        + [("o/a", S, "2025-03-02 10:00:00", "2"), ("o/a", S, None, "3")],
+        "path string, buildOutcome string, buildStartTime string, buildId string",
+    )
+    rows = conform(rows)
+    refresh(rows, "build_success_trend", str(tmp_path))
+    kept = spark.read.parquet(f"{tmp_path}/build_success_trend")
+    counts = kept.groupBy("day", "measure").agg(F.sum(F.bitmap_count("bits")), F.sum("amount")).collect()
+    first = {row[1]: (row[2], row[3]) for row in counts if row[0] == date(2025, 3, 1)}
+    assert first == {
+        "": (None, 4),
+        "unique_repos": (2, None),
+        "total_builds": (2, None),
+        "successful_builds": (1, None),
+        "failed_builds": (2, None),
+    }
+    assert as_tuples(rollup(spark, "build_success_trend", str(tmp_path))) == as_tuples(
+        reports.build_success_trend(rows)
+    )
+
+
 def test_a_refresh_rewrites_its_months_only(spark, trace, tmp_path):
     into = str(tmp_path)
     some = trace.where("commitStartTime < '1994-06-01'")

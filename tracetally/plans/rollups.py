@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,9 @@ _FIXED_FILES = "runFilesWithFixResults"
 #: The measure that every day of a report has: its number of rows.
 ROWS = ""
 
+#: Parts of a month that are written by one task, as a power of two: 8 million numbers.
+_PARTS_TOGETHER = 8
+
 _NUMBERS = "column string, value string, number bigint"
 _DAYS = "day date, measure string, part bigint, bits binary, sketch binary, amount bigint, of_month date"
 
@@ -154,20 +158,45 @@ def _number_new(spark: SparkSession, seen: DataFrame, into: str) -> DataFrame:
     return _numbers(spark, into)
 
 
-def refresh(
-    trace: DataFrame,
-    report: str,
-    into: str,
-    months: Iterable[date] | None = None,
-    approximate: bool = False,
-) -> None:
-    """Works out the days of ``report`` anew from ``trace``: those of ``months``, given by any of
-    their days, or all it has.
+def _seen(rows: DataFrame, trend: Trend) -> DataFrame:
+    """Each ``column`` and ``value`` of a ``day`` once, with a bit in ``measures`` for each measure
+    of ``trend`` that counts it."""
+    marks: dict[str, list[Column]] = {}
+    for at, (column, condition) in enumerate(trend.distinct.values()):
+        mark = F.lit(1 << at)
+        marks.setdefault(column, []).append(
+            mark if condition is None else F.when(condition, mark).otherwise(0)
+        )
+    records = [
+        F.struct(
+            F.lit(column).alias("column"),
+            F.col(column).cast("string").alias("value"),
+            reduce(Column.bitwiseOR, of_column).alias("measures"),
+        )
+        for column, of_column in marks.items()
+    ]
+    return (
+        rows.select(F.col("_day").alias("day"), F.inline(F.array(*records)))
+        .where("value IS NOT NULL AND measures != 0")
+        .groupBy("day", "column", "value")
+        .agg(F.bit_or("measures").alias("measures"))
+    )
 
-    Months without rows lose what they had. A trace from ``open_store`` is read for ``months`` only.
-    """
+
+def _seen_by_measure(seen: DataFrame, trend: Trend) -> DataFrame:
+    """``seen`` with a row for each ``measure``."""
+    bits = [
+        F.when(F.col("measures").bitwiseAND(1 << at) != 0, F.lit(name))
+        for at, name in enumerate(trend.distinct)
+    ]
+    return seen.withColumn("measure", F.explode(F.array_compact(F.array(*bits))))
+
+
+def _days(
+    trace: DataFrame, report: str, into: str, months: Iterable[date] | None, approximate: bool
+) -> DataFrame:
+    """What :func:`refresh` writes, after new values have their numbers."""
     spark, trend = trace.sparkSession, _trend(report)
-    into = into.rstrip("/")
     rows = trace.where(trend.rows).withColumn("_day", utc_day(trend.time))
     firsts = None if months is None else sorted({day.replace(day=1) for day in months})
     if firsts is not None:
@@ -175,33 +204,7 @@ def refresh(
         folder = f"{trend.time.removesuffix('StartTime')}_month"
         if folder in trace.columns:
             rows = rows.where(F.col(folder).isin(firsts))
-    records = [
-        F.struct(
-            F.lit(name).alias("measure"),
-            F.lit(column).alias("column"),
-            (F.col(column) if condition is None else F.when(condition, F.col(column)))
-            .cast("string")
-            .alias("value"),
-        )
-        for name, (column, condition) in trend.distinct.items()
-    ]
-    seen = (
-        rows.select(F.col("_day").alias("day"), F.inline(F.array(*records)))
-        .where("value IS NOT NULL")
-        .distinct()
-    )
-    nothing = F.lit(None)
-    if approximate:
-        counted = seen.groupBy("day", "measure").agg(F.hll_sketch_agg("value").alias("sketch"))
-        counted = counted.select("day", "measure", nothing.alias("part"), nothing.alias("bits"), "sketch")
-    else:
-        numbers = _number_new(spark, seen, into)
-        counted = (
-            seen.join(numbers, ["column", "value"])
-            .groupBy("day", "measure", F.bitmap_bucket_number("number").alias("part"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
-            .select("day", "measure", "part", "bits", nothing.alias("sketch"))
-        )
+    seen = _seen(rows, trend)
     sums = {name: F.sum(number.cast("bigint")) for name, number in trend.sums.items()}
     totals = rows.groupBy(F.col("_day").alias("day")).agg(
         F.count(F.lit(1)).alias("_rows"), *[total.alias(name) for name, total in sums.items()]
@@ -218,13 +221,59 @@ def refresh(
             F.lit(0).cast("bigint").alias("amount"),
         )
         summed = summed.unionByName(asked)
-    every = counted.unionByName(summed, allowMissingColumns=True)
+    if approximate:
+        counted = _seen_by_measure(seen, trend).groupBy("day", "measure")
+        every = counted.agg(F.hll_sketch_agg("value").alias("sketch")).unionByName(
+            summed, allowMissingColumns=True
+        )
+        every = every.withColumns(
+            {"part": F.lit(None), "bits": F.lit(None), "of_month": F.trunc("day", "month")}
+        )
+        # A few files a month: else every task would write one for each of them.
+        return _as_days(every.hint("rebalance", "of_month"))
+    numbered = seen.join(_number_new(spark, seen, into), ["column", "value"])
+    placed = _seen_by_measure(numbered, trend).select(
+        "day",
+        "measure",
+        F.bitmap_bucket_number("number").alias("part"),
+        F.bitmap_bit_position("number").alias("position"),
+    )
+    every = placed.unionByName(summed, allowMissingColumns=True)
     every = every.withColumn("of_month", F.trunc("day", "month"))
+    # Numbers travel, not bitmaps: one of 4 KB for each task and part would be sorted at the other
+    # end. Sorted as groups, a bitmap is written before the next one begins. A month's tasks are
+    # few, so its files are.
+    near = every.withColumn("together", F.shiftright("part", _PARTS_TOGETHER)).repartition(
+        "of_month", "together"
+    )
+    bits = near.groupBy("of_month", "day", "measure", "part", "together").agg(
+        F.bitmap_construct_agg("position").alias("bits"), F.sum("amount").alias("amount")
+    )
+    bits = bits.withColumn("bits", F.when(F.col("part").isNotNull(), F.col("bits")))
+    return _as_days(bits.withColumn("sketch", F.lit(None)))
+
+
+def _as_days(every: DataFrame) -> DataFrame:
     kinds = dict(part.split() for part in _DAYS.split(", "))
     every = every.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
-    # A few files a month: else every task would write one for each of them.
-    spread = every.hint("rebalance", "of_month").sortWithinPartitions("of_month", "day", "measure", "part")
-    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return every.sortWithinPartitions("of_month", "day", "measure", "part")
+
+
+def refresh(
+    trace: DataFrame,
+    report: str,
+    into: str,
+    months: Iterable[date] | None = None,
+    approximate: bool = False,
+) -> None:
+    """Works out the days of ``report`` anew from ``trace``: those of ``months``, given by any of
+    their days, or all it has.
+
+    Months without rows lose what they had. A trace from ``open_store`` is read for ``months`` only.
+    """
+    into = into.rstrip("/")
+    days = _days(trace, report, into, months, approximate)
+    writer = days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("of_month").parquet(f"{into}/{report}")
 
 
