@@ -12,10 +12,10 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -338,6 +338,8 @@ def _stage_depth() -> Column:
 
 #: What the rows of one repository in one run share.
 RUN = ("origin", "path", "branch", "developer", "buildId", "runId")
+#: What :func:`keyed_by_run` adds.
+_KEYS = ("_depth", "_run", "_reached", "_later")
 
 
 def _stage_position(column: str) -> int:
@@ -348,27 +350,73 @@ def _stage_position(column: str) -> int:
     return 0
 
 
-def _once(rows: DataFrame) -> DataFrame:
-    """One row of those that agree in all columns of :data:`RUN` and of the stages they reached.
-
-    The others are columns of later stages and of none; of these, the row with the largest stays.
-    Every value travels once: either in the key or in what is kept of the group.
-    """
-    staged = {name: at for name in rows.columns if name not in RUN and (at := _stage_position(name))}
-    others = [name for name in rows.columns if name not in RUN and name not in staged]
-    rows = rows.withColumn("_depth", _stage_depth())
-    reached = {name: F.when(F.col("_depth") >= at, F.col(name)) for name, at in staged.items()}
-    later = [F.when(F.col("_depth") < at, F.col(name)).alias(name) for name, at in staged.items()]
-    kept = rows.groupBy(*RUN, *[value.alias(name) for name, value in reached.items()]).agg(
-        F.max(F.struct(*later, *others)).alias("_rest")
+def _digest(parts: Iterable[Column]) -> Column:
+    """128 bits of SHA-256 over texts; each part is a text that tells where it ends."""
+    return F.unhex(F.substring(F.sha2(F.concat(*parts), 256), 1, 32))
+
+
+def _marked(name: str, kind: T.DataType) -> Column:
+    """The value of a column as text with its length ahead; NULL is told from every value."""
+    value = F.col(name)
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = value + F.lit(0.0)  # as groups do, which don't tell -0.0 from 0.0
+    value = value.cast("string")
+    return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+
+def keyed_by_run(rows: DataFrame) -> DataFrame:
+    """``rows`` with what :func:`deepest_of_run` compares: ``_depth``, and digests of the run
+    (``_run``) and of all columns of the stages that a row reached (``_reached``). ``_later`` are
+    its columns of later stages, NULL if it has none."""
+    kinds = {field.name: field.dataType for field in rows.schema.fields}
+    depth, by_stage = F.col("_depth"), {}
+    for name in rows.columns:
+        if name not in RUN and (at := _stage_position(name)):
+            by_stage.setdefault(at, []).append(name)
+    reached = [
+        F.when(depth >= at, F.concat(*[_marked(name, kinds[name]) for name in names])).otherwise("")
+        for at, names in by_stage.items()
+    ]
+    later = [
+        F.when(depth < at, F.col(name)).alias(name) for at, names in by_stage.items() for name in names
+    ]
+    has_later = reduce(
+        or_,
+        [
+            (depth < at) & F.coalesce(*[F.col(name).cast("string") for name in names]).isNotNull()
+            for at, names in by_stage.items()
+        ],
     )
-    return kept.select(
-        *RUN,
-        *[F.coalesce(F.col(name), F.col(f"_rest.{name}")).alias(name) for name in staged],
-        *[F.col(f"_rest.{name}").alias(name) for name in others],
+    return rows.withColumn("_depth", _stage_depth()).withColumns(
+        {
+            "_run": _digest(_marked(name, kinds[name]) for name in RUN),
+            "_reached": _digest(reached),
+            "_later": F.when(has_later, F.struct(*later)),
+        }
     )
 
 
+def deepest_of_run(keyed: DataFrame, *near: str) -> DataFrame:
+    """Of the rows of each run those of its deepest stage, and of these that agree in all they
+    reached, the one with the largest rest. Columns ``near`` depend on the run, and its rows lie
+    together by them already."""
+    others = [
+        name
+        for name in keyed.columns
+        if name not in (*RUN, *near, *_KEYS) and not _stage_position(name)
+    ]
+    rest = [F.desc_nulls_last(name) for name in ("_later", *others)]
+    run = Window.partitionBy(*near, "_run").orderBy(F.desc("_depth"), "_reached", *rest)
+    so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = keyed.withColumns(
+        {"_deepest": F.first("_depth").over(so_far), "_before": F.lag("_reached").over(run)}
+    )
+    again = F.col("_reached").eqNullSafe(F.col("_before"))
+    return marked.where((F.col("_depth") == F.col("_deepest")) & ~again).drop(*_KEYS, "_deepest", "_before")
+
+
 def deepest_stage(trace: DataFrame) -> DataFrame:
     """Drops rows of a run that a later stage's trace repeats. Optional; reports do not call it.
 
@@ -379,20 +427,9 @@ def deepest_stage(trace: DataFrame) -> DataFrame:
     equally far in both files counts once, several commits of one run all stay. Rows without a run
     stay as they are and take part in no shuffle.
 
-    Only runs seen at several depths are matched, and both aggregates collapse copies before their
-    shuffle, so a run with many copies swells no group.
+    Rows travel once, and with the columns that are asked of the result: what is compared travels
+    as digests of 128 bits. The rows of one run in one repository meet in one task, which needs no
+    memory for them all.
     """
     with_run = trace.where(F.col("runId").isNotNull())
-    depths = (
-        with_run.groupBy(*RUN)
-        .agg(F.min(_stage_depth()).alias("_least"), F.max(_stage_depth()).alias("_deepest"))
-        .where("_least < _deepest")
-        .select(*[F.col(name).alias(f"_{name}") for name in RUN], "_deepest")
-    )
-    same_run = reduce(
-        and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in RUN if name != "runId"]
-    )
-    same_run &= F.col("runId") == F.col("_runId")
-    repeated = same_run & (_stage_depth() < F.col("_deepest"))
-    latest = _once(with_run.join(depths, repeated, "left_anti"))
-    return trace.where(F.col("runId").isNull()).unionByName(latest)
+    return trace.where(F.col("runId").isNull()).unionByName(deepest_of_run(keyed_by_run(with_run)))
