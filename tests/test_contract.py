@@ -26,7 +26,7 @@ def plan_of(df) -> str:
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
-    assert len(QUERIES) == 73
+    assert len(QUERIES) == 74
     assert QUERIES.keys() <= contract.queries().keys()
     assert ORACLES.keys() <= contract.oracle_sql().keys()
 
