@@ -512,6 +512,25 @@ def test_classifier_learns_from_its_fold_only(spark):
     assert quality.classify(docs.limit(0), known).count() == 0
 
 
+def test_classifier_ratios_stay_with_spark(spark, monkeypatch):
+    rows = [
+        (0, 0, [1, 2], []),
+        (1, 1, [2, 3], []),
+        (2, 1, [3, 5], [0.5, 1.0]),
+    ]
+    known = spark.createDataFrame(rows, "id long, label int, features array<int>, shares array<float>")
+    collected = []
+    plain = type(known).toArrow
+    monkeypatch.setattr(type(known), "toArrow", lambda self: collected.append(self.columns) or plain(self))
+    found, totals = quality.ratios(known)
+    assert totals == [1, 2] and not collected
+    got = {f: r for row in found.collect() for f, r in zip(row.features, row.ratios)}
+    counts = {1: (2, 1), 2: (2, 2), 3: (1, 2.5), 5: (1, 2)}
+    sums = [sum(n[label] for n in counts.values()) for label in (0, 1)]
+    want = {f: np.log((n[1] / sums[1]) / (n[0] / sums[0])) for f, n in counts.items()}
+    assert got.keys() == want.keys() and all(np.isclose(got[f], want[f]) for f in want)
+
+
 def test_classifier_where_labels_are_not_broadcast(spark, monkeypatch):
     rows = [(at, "good text here" if at % 2 else "bad $$$ bad") for at in range(200)]
     docs = spark.createDataFrame(rows, DOCS)

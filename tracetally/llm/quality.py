@@ -175,10 +175,11 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     )
 
 
-def ratios(rows: DataFrame) -> tuple[np.ndarray, list[int]]:
+def ratios(rows: DataFrame) -> tuple[DataFrame, list[int]]:
     """Log-count ratio of every feature seen over all ``rows``, and the number of rows per class.
 
-    At most FEATURES pairs of counts reach the driver, some 20 bytes each.
+    The ratios stay with Spark, in rows of many ``features`` and their ``ratios``; two sums and two
+    counts reach the driver.
     """
     seen = dict(rows.groupBy("label").count().collect())
     totals = [seen.get(0, 0), seen.get(1, 0)]
@@ -189,17 +190,28 @@ def ratios(rows: DataFrame) -> tuple[np.ndarray, list[int]]:
         "label", F.inline(F.arrays_zip(F.col("features"), F.col("shares").alias("share")))
     )
     of = [F.when(F.col("label") == label, F.col("share").cast("double")).otherwise(0.0) for label in (0, 1)]
-    counted = (
+    counted = stored(
         whole.union(parts.toDF("label", "feature", "share"))
         .groupBy("feature")
-        .agg(F.sum(of[0]).alias("n0"), F.sum(of[1]).alias("n1"))
-        .toArrow()
+        .agg((F.sum(of[0]) + SMOOTHING).alias("n0"), (F.sum(of[1]) + SMOOTHING).alias("n1"))
     )
-    counts = np.stack([counted.column(name).to_numpy() for name in ("n0", "n1")]) + SMOOTHING
-    shares = counts / counts.sum(axis=1, keepdims=True)
-    ratio = np.zeros(FEATURES, np.float32)
-    ratio[counted.column("feature").to_numpy()] = np.log(shares[1] / shares[0])
-    return ratio, totals
+    sums = [float(n or 0) for n in counted.agg(F.sum("n0"), F.sum("n1")).first()]
+
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n0, n1 = (batch.column(at).to_numpy() for at in (1, 2))
+            found = np.log((n1 / sums[1]) / (n0 / sums[0])).astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([batch.column(0).to_numpy()], pa.list_(pa.int32())),
+                    pa.array([found], pa.list_(pa.float32())),
+                ],
+                ["features", "ratios"],
+            )
+
+    return counted.select("feature", "n0", "n1").mapInArrow(
+        divide, "features array<int>, ratios array<float>"
+    ), totals
 
 
 def dual_coordinate_descent(
@@ -255,10 +267,10 @@ def logistic_curve(margins: np.ndarray, truth: np.ndarray, weight: np.ndarray) -
 def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
     """The model from labelled ``rows`` (``id``, ``label``, ``features``, ``shares``).
 
-    The fit is one task over at most ``2 * most`` rows; its result is one row with the weights of
-    the features that these have.
+    The fit is one task over at most ``2 * most`` rows and the ratios, some 8 bytes each; its result
+    is one row with the weights of the features that these rows have.
     """
-    ratio, totals = ratios(rows)
+    ratio_rows, totals = ratios(rows)
     if not min(totals):
         share = totals[1] / sum(totals) if sum(totals) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
@@ -266,9 +278,13 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, classes, size, taken = [], [], 0, [0, 0]
+        ratio = np.zeros(FEATURES, np.float32)
         for batch in batches:
             for label, features, shares in zip(*batch.columns):
                 label = label.as_py()
+                if label is None:
+                    ratio[np.array(features.values, np.int32)] = np.array(shares.values, np.float32)
+                    continue
                 size += len(features)
                 if size > SAMPLE_FEATURES and taken[label] >= FEWEST:
                     size -= len(features)
@@ -316,8 +332,12 @@ def fit(rows: DataFrame, most: int = SAMPLE) -> Model:
     ]
     # Sorted by a hash over both classes, so that each fourth row is a fair quarter of each.
     sample = chosen[0].union(chosen[1]).coalesce(1).sortWithinPartitions(order, "id")
+    # In the same task as the rows, in any order: they are used when all have been read.
+    asked = ratio_rows.select(F.lit(None).cast("int").alias("label"), "features", F.col("ratios").alias("shares"))
     model = (
         sample.select("label", "features", "shares")
+        .union(asked)
+        .coalesce(1)
         .mapInArrow(train, "features array<int>, weights array<float>, rest array<double>")
         .toArrow()
     )
