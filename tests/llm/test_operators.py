@@ -12,6 +12,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from tracetally.llm import (
+    common,
     components,
     mixing,
     neardup,
@@ -304,6 +305,45 @@ def test_components(spark):
     assert got == {at: 100 for at in range(100, 141)} | {5: 5, 6: 5, 7: 5}
 
 
+def test_components_end_at_stars(spark, monkeypatch):
+    """Stars are written once; a path takes rounds, as does a node between a smaller and a larger one."""
+    written, plain = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda *a, **b: written.append(1) or plain(*a, **b))
+    stars = [(at, at % 3) for at in range(3, 60)]
+    got = dict(components.components(spark.createDataFrame(stars + stars[:9], "u long, v long")).collect())
+    assert got == {at: at % 3 for at in range(60)} and len(written) == 1
+    chain = spark.createDataFrame([("c", "b"), ("b", "a"), ("x", "x")], "u string, v string")
+    assert dict(components.components(chain).collect()) == {"a": "a", "b": "a", "c": "a"}
+    assert len(written) > 2
+    assert components.components(chain.limit(0)).count() == 0
+
+
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """Many shuffle partitions don't deal a small table out to as many tasks and files."""
+    cores = spark.sparkContext.defaultParallelism
+    frame = spark.range(5 * cores).repartition(10 * cores)
+    assert len(common.stored(frame, most=5 * cores).inputFiles()) <= 4 * cores
+    assert common.few(frame, 10 * cores, 1).rdd.getNumPartitions() == 10 * cores
+    tasks, pruned = [], neardup.pruned
+
+    def counted(pairs, percent):
+        tasks.append(pairs.rdd.getNumPartitions())
+        return pruned(pairs, percent)
+
+    monkeypatch.setattr(neardup, "pruned", counted)
+    set_ = {"spark.sql.shuffle.partitions": str(6 * cores), "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in set_}
+    try:
+        for name, value in set_.items():
+            spark.conf.set(name, value)
+        rows = [(at, " ".join(f"w{at // 2 * 50 + word}" for word in range(40)) + " x" * (at % 2)) for at in range(20)]
+        same(neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect(), brute.near(rows, 85))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert tasks and max(tasks) <= 4 * cores
+
+
 def test_pruning_misses_no_more_than_chosen():
     for percent in (80, 85):
         rows = neardup.band_rows(percent)

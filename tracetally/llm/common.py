@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
+#: Rows for which a frame gets one more task, where a bound of its rows is known, and the same for
+#: rows that hold texts, sets or signatures.
+TASK_ROWS = 20_000
+WIDE_ROWS = 2_000
 
 
 def ship(module: str) -> None:
@@ -35,8 +39,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, folder: str | None = None) -> DataFrame:
-    """``frame`` written to the shared folder and read again: lineage ends, and its size is known."""
+def few(frame: DataFrame, most: int, rows: int = TASK_ROWS) -> DataFrame:
+    """``frame``, of at most ``most`` rows, in one task per ``rows`` of these but four per core at least.
+
+    A table that has few rows is thus not dealt to as many tasks as there are shuffle partitions; a
+    large one stays as it is. Nothing is shuffled for it.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.coalesce(max(4 * cores, -(-most // rows)))
+
+
+def stored(frame: DataFrame, folder: str | None = None, most: int | None = None) -> DataFrame:
+    """``frame`` written to the shared folder and read again: lineage ends, and its size is known.
+
+    Each task writes a file. ``most``, if known, is a bound of the rows, see ``few``.
+    """
+    if most is not None:
+        frame = few(frame, most)
     path = folder or shared_folder(frame.sparkSession)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracetally.llm.common import ship, stored
+from tracetally.llm.common import WIDE_ROWS, few, ship, stored
 from tracetally.llm.components import components
 
 ship(__name__)
@@ -186,8 +186,9 @@ def pruned(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("u", "v", "sig_u", "sig_v").mapInArrow(prune, f"u {kind}, v {kind}")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (``u``, ``v``) whose ``sets`` (``id``, ``hashes``) are similar enough."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
+    """Those of the pairs (``u``, ``v``; at most ``most``) whose ``sets`` (``id``, ``hashes``) are
+    similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,12 +203,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     kind = pairs.schema["u"].dataType.simpleString()
     of = sets.select(F.col("id").alias("u"), F.col("hashes").alias("hashes_u"))
     other = sets.select(F.col("id").alias("v"), F.col("hashes").alias("hashes_v"))
-    return (
-        pairs.join(of, "u")
-        .join(other, "v")
-        .select("u", "v", "hashes_u", "hashes_v")
-        .mapInArrow(verify, f"u {kind}, v {kind}")
-    )
+    both = pairs.join(of, "u").join(other, "v").select("u", "v", "hashes_u", "hashes_v")
+    return few(both, most, WIDE_ROWS).mapInArrow(verify, f"u {kind}, v {kind}")
 
 
 def _filled(rows: Iterable[tuple], columns: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
@@ -229,9 +226,9 @@ def _filled(rows: Iterable[tuple], columns: dict[str, pa.DataType]) -> Iterator[
         yield batch()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, most: int) -> DataFrame:
     """``id`` and ``hashes`` (the set), one row of each class in ``wanted`` (``id``, ``rep``,
-    ``hash``, ``set``), stored."""
+    ``hash``, ``set``; at most ``most``), stored."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -244,15 +241,20 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
 
         yield from _filled(rows(), {"id": pa.int64(), "hashes": pa.binary()})
 
-    found = stored(
+    texts = (
         docs.select(F.col(key).alias("rep"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
         .join(wanted.select("id", "rep", "hash", "set").hint("shuffle_hash"), ["rep", "hash"])
         .select("id", "text", "set")
+    )
+    found = stored(
+        few(texts, most, WIDE_ROWS)
         .mapInArrow(sets, "id bigint, hashes binary")
         .withColumn("row", F.monotonically_increasing_id())
     )
     # Rows that repeat id and text are all found; as one set each they'd multiply every join.
-    one = stored(found.groupBy("id").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("rows")))
+    one = stored(
+        found.groupBy("id").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("rows")), most=most
+    )
     if one.where("rows > 1").isEmpty():
         return found.drop("row")
     again = found.select("id", "row").join(one.where("rows > 1").select("id", F.col("row").alias("_one")), "id")
@@ -260,11 +262,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     return stored(found.join(again, "row", "left_anti").drop("row"))
 
 
-def _with(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs with both signatures."""
+def _with(pairs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """The pairs (at most ``most``) with both signatures."""
     u = classes.select(F.col("id").alias("u"), F.col("sig").alias("sig_u"))
     v = classes.select(F.col("id").alias("v"), F.col("sig").alias("sig_v"))
-    return pairs.join(u, "u").join(v, "v")
+    return few(pairs.join(u, "u").join(v, "v"), most, WIDE_ROWS)
+
+
+def _linked(
+    pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """The links among stored ``pairs``: pruned by signatures, then verified on the sets."""
+    most = pairs.count()
+    return verified(stored(pruned(_with(pairs, classes, most), percent)), sets, percent, most)
 
 
 def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: int) -> DataFrame:
@@ -273,6 +283,7 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
     In here ``id`` numbers the classes, so that several texts of one document stay apart.
     """
     ranked = sketched.where("n > 0 AND id IS NOT NULL")
+    rows = sketched.count()
     classes = stored(
         ranked.groupBy("set")
         .agg(
@@ -286,41 +297,47 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
             F.col("least.id").alias("rep"),
             F.col("least.hash").alias("hash"),
             *("set", "n", "sig", "bands"),
-        )
+        ),
+        most=rows,
     )
     banded = classes.select("id", "n", F.posexplode("bands").alias("band", "value"))
     sizes = stored(
-        banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1"),
+        most=rows * (HASHES // band_rows(percent)) // 2,
     )
     members = stored(banded.join(sizes, ["band", "value"]))
+    # No table of ids, buckets or pairs with a hub has more rows.
+    bound = members.count()
     ids = stored(
         members.groupBy("id")
         .agg(F.sum("members").alias("crowd"))
-        .join(classes.select("id", "rep", "hash", "set"), "id")
+        .join(classes.select("id", "rep", "hash", "set"), "id"),
+        most=min(rows, bound),
     )
-    sets = _sets(docs, ids, key, text)
+    sets = _sets(docs, ids, key, text, min(rows, bound))
     alone = members.withColumn("label", F.col("id"))
-    hubs = stored(_hubs(alone, ids))
-    stars = stored(_stars(alone, hubs))
-    found = stored(verified(stored(pruned(_with(stars, classes), percent)), sets, percent))
-    labels = stored(components(found))
-    unsettled = stored(_mixed(members, labels))
+    hubs = stored(_hubs(alone, ids), most=bound)
+    stars = stored(_stars(alone, hubs), most=bound)
+    found = stored(_linked(stars, classes, sets, percent))
+    labels = stored(components(found, bound))
+    unsettled = stored(_mixed(members, labels, bound))
 
     of_hub = hubs.join(labels, F.col("v") == F.col("node"), "left").select(
         "band", "value", F.coalesce("component", "v").alias("of")
     )
     outside = unsettled.join(of_hub, ["band", "value"]).where("label <> of").drop("of")
-    more = stored(_stars(unsettled, stored(_hubs(outside, ids))).join(stars, ["u", "v"], "left_anti"))
+    second = stored(_hubs(outside, ids), most=bound)
+    more = stored(_stars(unsettled, second).join(stars, ["u", "v"], "left_anti"), most=bound)
     stars = stars.union(more)
-    gathered = stored(verified(stored(pruned(_with(more, classes), percent)), sets, percent))
+    gathered = stored(_linked(more, classes, sets, percent))
     if not gathered.isEmpty():
         found = found.union(gathered)
-        labels = stored(components(found))
-        unsettled = stored(_mixed(members, labels))
+        labels = stored(components(found, 2 * bound))
+        unsettled = stored(_mixed(members, labels, bound))
 
     # What the members of buckets of several components can still reach.
-    around = stored(unsettled.select("id").distinct())
-    own = stored(_own(sets.join(around, "id")))
+    around = stored(unsettled.select("id").distinct(), most=min(rows, bound))
+    own = stored(_own(sets.join(around, "id")), most=min(rows, bound))
     # |A & B| is at most what A shares with anybody, and at least this share of |A| + |B|.
     share = percent / (100 + percent)
     most = F.floor((F.col("n") - F.coalesce("own", F.lit(0))) / share + 1e-6) - F.col("n")
@@ -332,12 +349,13 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
     # Buckets without a small enough other member for anybody have no pair to look at.
     reach = open_.groupBy("band", "value").agg(F.max("most").alias("_most"), F.min("n").alias("_n"))
     reachable = stored(
-        open_.join(stored(reach), ["band", "value"]).where("n <= _most AND most >= _n").drop("_most", "_n")
+        open_.join(stored(reach, most=bound), ["band", "value"]).where("n <= _most AND most >= _n").drop("_most", "_n")
     )
     crowds = stored(
         reachable.groupBy("band", "value")
         .agg(F.count(F.lit(1)).alias("members"))
-        .join(hubs.select("band", "value", F.col("v").alias("hub")), ["band", "value"])
+        .join(hubs.select("band", "value", F.col("v").alias("hub")), ["band", "value"]),
+        most=bound,
     )
     small = reachable.join(crowds.where(F.col("members") <= LARGE).select("band", "value"), ["band", "value"])
     a, b = small.alias("a"), small.alias("b")
@@ -359,10 +377,11 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
         reachable.join(crowds.where(F.col("members") > LARGE), ["band", "value"])
         .where("id <> hub")
         .select("id", "n", "label", "hub")
-        .distinct()
+        .distinct(),
+        most=bound,
     )
     rest = crossed.union(_through_hubs(main, sets, percent)).distinct().join(stars, ["u", "v"], "left_anti")
-    found = found.union(verified(stored(pruned(_with(stored(rest), classes), percent)), sets, percent))
+    found = found.union(_linked(stored(rest), classes, sets, percent))
     names = classes.select("id", "rep")
     u = names.select(F.col("id").alias("u"), F.col("rep").alias("_u"))
     v = names.select(F.col("id").alias("v"), F.col("rep").alias("_v"))
@@ -391,8 +410,9 @@ def _stars(members: DataFrame, hubs: DataFrame) -> DataFrame:
     )
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The ``members`` of buckets of several components, with their component ``label``."""
+def _mixed(members: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """The ``members`` (at most ``most``) of buckets of several components, with their component
+    ``label``."""
     labelled = stored(
         members.join(labels, F.col("id") == F.col("node"), "left").select(
             "band", "value", "id", "n", F.coalesce("component", "id").alias("label")
@@ -404,7 +424,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
         .where("_least <> _most")
         .select("band", "value")
     )
-    return labelled.join(stored(mixed), ["band", "value"])
+    return labelled.join(stored(mixed, most=most), ["band", "value"])
 
 
 def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -439,10 +459,9 @@ def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     beyond = (F.col("size") - k * (F.col("n") + F.col("n_hub"))) / 2
     half = F.greatest(F.lit(1), F.ceil(F.col("size") * (1 - k) / 2 - 1e-9))
     shared = F.when(beyond > 0, F.greatest(F.lit(1), F.ceil(beyond - 1e-9))).otherwise(half)
+    both = main.join(of, "id").join(hub, "hub").select("id", "n", "label", "hub", "hashes_u", "hashes_v")
     texts = stored(
-        main.join(of, "id")
-        .join(hub, "hub")
-        .select("id", "n", "label", "hub", "hashes_u", "hashes_v")
+        few(both, main.count(), WIDE_ROWS)
         .mapInArrow(
             differences,
             "id bigint, n bigint, label bigint, hub bigint, n_hub bigint, diff array<bigint>",
@@ -525,8 +544,10 @@ def near_duplicates(
     sketched = stored(sketches(docs, key, text, percent))
     found = links(docs, sketched, key, text, percent)
     # Documents of one class, and texts of one id, hang on the class's smallest id.
+    rows = sketched.count()
     of_class = stored(
-        sketched.where("n > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("rep"))
+        sketched.where("n > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("rep")),
+        most=rows,
     )
     same = (
         sketched.where("n > 0 AND id IS NOT NULL")
