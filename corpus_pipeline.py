@@ -78,7 +78,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = stored(found.select("_row", F.col("component_id").alias("_group")))
     ids = rows.select("_row", "doc_id")
     # Rows that are alone are in no group, and most are.
-    several = stored(groups.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    most = groups.count()
+    several = stored(
+        groups.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), most=most
+    )
     members = stored(groups.join(several, "_group").select("_row", "_group").join(ids, "_row"))
     first = members.groupBy("_group").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")

@@ -128,6 +128,30 @@ def test_shards_and_slots(spark):
     assert sharding.shard(frame.limit(0), "doc_id", 8).count() == 0
 
 
+def test_slots_do_not_shuffle_rows(spark):
+    """The rows hold whole texts; only starts, one per file and shard, are sent around."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        frame = spark.createDataFrame([(at, f"text {at}") for at in range(300)], DOCS).repartition(5)
+        got = sharding.shard(frame, "doc_id", 8)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = got.toPandas()
+    finally:
+        spark.conf.set(limit, before)
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    for _, of_shard in rows.groupby("shard"):
+        assert sorted(of_shard["slot"]) == list(range(len(of_shard)))
+
+
+def test_slots_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BROADCAST_STARTS", 0)
+    frame = spark.createDataFrame([(at, f"text {at}") for at in range(300)], DOCS).repartition(5)
+    for _, rows in sharding.shard(frame, "doc_id", 8).toPandas().groupby("shard"):
+        assert sorted(rows["slot"]) == list(range(len(rows)))
+
+
 def test_secrets(spark, docs, texts, tmp_path):
     ledger = secrets.Ledger(spark, f"file://{tmp_path}/ledger")
     got = {row.doc_id: row.findings for row in secrets.scan(docs, ledger).collect()}

@@ -20,6 +20,8 @@ MULTIPLIER = 2862933555777941757
 WORD = 1 << 64
 #: Jumps tried at once. A key makes about ln(shards) of them; the few that need more get more.
 JUMPS = 48
+#: Starts are broadcast up to this many (a file's path and three numbers each, some 200 bytes).
+BROADCAST_STARTS = 200_000
 
 
 def _unsigned(key: Column) -> Column:
@@ -73,7 +75,8 @@ def shard(
 
     No row moves between tasks, whatever a key's share of them: the rows are stored with the rows
     of a shard next to each other in each file, and a row's slot is the number of the shard's rows
-    in earlier files plus its place in the file. Per file and shard, one row is counted.
+    in earlier files plus its place in the file. Per file and shard, one row is counted; beyond
+    BROADCAST_STARTS of these, Spark chooses how they meet the rows.
     """
     rows = without(frame, "shard", "slot", "grown_shard")
     hashed = F.xxhash64(F.col(key))
@@ -91,12 +94,15 @@ def shard(
     earlier = Window.partitionBy("shard").orderBy("_file").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = (
+    # Stored, as their size is not known before; what Spark expects has it shuffle the rows.
+    starts = stored(
         kept.groupBy("shard", "_file")
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
         .withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first"))
         .select("shard", "_file", "_start")
     )
+    if starts.count() <= BROADCAST_STARTS:
+        starts = F.broadcast(starts)
     return kept.join(starts, ["shard", "_file"]).select(
         *names, (F.col("_start") + F.col("_place")).alias("slot")
     )
