@@ -368,6 +368,40 @@ def test_small_tables_take_few_tasks(spark, monkeypatch):
     assert tasks and max(tasks) <= 4 * cores
 
 
+def test_small_narrow_tables_are_written_by_a_task_per_core(spark, monkeypatch):
+    """Each file can cost processes on the executor; these tables have a bound and few rows."""
+    cores = spark.sparkContext.defaultParallelism
+    frame = spark.range(100 * cores).repartition(10 * cores)
+    assert len(common.stored(frame, most=100 * cores).inputFiles()) == cores
+    assert common.few(frame, 100 * cores, common.WIDE_ROWS).rdd.getNumPartitions() == 4 * cores
+    tasks, plain = [], common.stored
+
+    def counted(frame, folder=None, most=None):
+        written = frame if most is None else common.few(frame, most)
+        tasks.append((frame.columns, written.rdd.getNumPartitions()))
+        return plain(frame, folder, most)
+
+    monkeypatch.setattr(neardup, "LARGE", 8)
+    monkeypatch.setattr(neardup, "stored", counted)
+    monkeypatch.setattr(components, "stored", counted)
+    set_ = {"spark.sql.shuffle.partitions": str(6 * cores), "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in set_}
+    try:
+        for name, value in set_.items():
+            spark.conf.set(name, value)
+        rows = _two_groups(500, 15)
+        same(neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect(), brute.near(rows, 85))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    of = {tuple(columns): most for columns, most in sorted(tasks, key=lambda x: x[1])}
+    # The elements of differences, and labels; of the components' tables the last one is of all links.
+    assert of["hub", "element", "texts"] <= cores and of["node", "component"] <= cores
+    assert of["hub", "element", "id", "n", "label", "size", "linked", "place", "early"] <= cores
+    edges = [most for columns, most in tasks if columns == ["u", "v"]]
+    assert edges[-1] <= cores
+
+
 def test_pruning_misses_no_more_than_chosen():
     for percent in (80, 85):
         rows = neardup.band_rows(percent)

@@ -40,13 +40,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def few(frame: DataFrame, most: int, rows: int = TASK_ROWS) -> DataFrame:
-    """``frame``, of at most ``most`` rows, in one task per ``rows`` of these but four per core at least.
+    """``frame``, of at most ``most`` rows, in one task per ``rows`` of these but one per core at least,
+    or four per core where rows are wide.
 
     A table that has few rows is thus not dealt to as many tasks as there are shuffle partitions; a
     large one stays as it is. Nothing is shuffled for it.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.coalesce(max(4 * cores, -(-most // rows)))
+    return frame.coalesce(max(cores * (4 if rows < TASK_ROWS else 1), -(-most // rows)))
 
 
 def stored(frame: DataFrame, folder: str | None = None, most: int | None = None) -> DataFrame:

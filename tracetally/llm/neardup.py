@@ -277,14 +277,17 @@ def _linked(
     return verified(stored(pruned(_with(pairs, classes, most), percent)), sets, percent, most)
 
 
-def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """Links (``u``, ``v``) between classes, named by their smallest id, that connect all groups.
+def links(
+    docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: int
+) -> tuple[DataFrame, int]:
+    """Links (``u``, ``v``) between classes, named by their smallest id, that connect all groups, and
+    a bound of their number.
 
     In here ``id`` numbers the classes, so that several texts of one document stay apart.
     """
     ranked = sketched.where("n > 0 AND id IS NOT NULL")
     rows = sketched.count()
-    classes = stored(
+    classes = (
         ranked.groupBy("set")
         .agg(
             F.min(F.struct("id", "hash")).alias("least"),
@@ -297,9 +300,9 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
             F.col("least.id").alias("rep"),
             F.col("least.hash").alias("hash"),
             *("set", "n", "sig", "bands"),
-        ),
-        most=rows,
+        )
     )
+    classes = stored(few(classes, rows, WIDE_ROWS))
     banded = classes.select("id", "n", F.posexplode("bands").alias("band", "value"))
     sizes = stored(
         banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1"),
@@ -380,12 +383,15 @@ def links(docs: DataFrame, sketched: DataFrame, key: str, text: str, percent: in
         .distinct(),
         most=bound,
     )
-    rest = crossed.union(_through_hubs(main, sets, percent)).distinct().join(stars, ["u", "v"], "left_anti")
-    found = found.union(_linked(stored(rest), classes, sets, percent))
+    rest = stored(
+        crossed.union(_through_hubs(main, sets, percent)).distinct().join(stars, ["u", "v"], "left_anti")
+    )
+    found = found.union(_linked(rest, classes, sets, percent))
     names = classes.select("id", "rep")
     u = names.select(F.col("id").alias("u"), F.col("rep").alias("_u"))
     v = names.select(F.col("id").alias("v"), F.col("rep").alias("_v"))
-    return found.join(u, "u").join(v, "v").select(F.col("_u").alias("u"), F.col("_v").alias("v"))
+    named = found.join(u, "u").join(v, "v").select(F.col("_u").alias("u"), F.col("_v").alias("v"))
+    return named, 2 * bound + rest.count()
 
 
 def _hubs(members: DataFrame, ids: DataFrame) -> DataFrame:
@@ -474,7 +480,10 @@ def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     about = ("hub", "id", "n", "label", "size", "first", "linked", "first_unlinked")
     elements = texts.select(*about, F.explode("diff").alias("element"))
-    counts = stored(elements.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("texts")))
+    most = texts.agg(F.sum("size")).first()[0] or 0
+    counts = stored(
+        elements.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("texts")), most=most
+    )
     rarest = Window.partitionBy("hub", "id").orderBy("texts", "element")
     firsts = stored(
         elements.join(counts, ["hub", "element"])
@@ -484,7 +493,8 @@ def _through_hubs(main: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select(
             *("hub", "element", "id", "n", "label", "size", "linked", "place"),
             (F.col("place") <= F.col("first_unlinked")).alias("early"),
-        )
+        ),
+        most=most,
     )
     a, b = firsts.alias("a"), firsts.alias("b")
     met = (
@@ -542,7 +552,7 @@ def near_duplicates(
     """``key``, ``n_shingles``, ``component_id`` (smallest id of the group) and ``kept`` (the
     document is that one) of every row."""
     sketched = stored(sketches(docs, key, text, percent))
-    found = links(docs, sketched, key, text, percent)
+    found, most = links(docs, sketched, key, text, percent)
     # Documents of one class, and texts of one id, hang on the class's smallest id.
     rows = sketched.count()
     of_class = stored(
@@ -556,7 +566,7 @@ def near_duplicates(
         .select(F.col("id").alias("u"), F.col("rep").alias("v"))
         .distinct()
     )
-    groups = stored(components(found.union(same)))
+    groups = stored(components(found.union(same), most + rows))
     return sketched.join(groups, F.col("id") == F.col("node"), "left").select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
